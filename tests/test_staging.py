@@ -1,0 +1,178 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.operators import staging
+from tillroll.operators.staging import ReceiptConfig
+
+DAY, FILE = date(2024, 1, 15), "f.csv"
+AS_OF = datetime(2024, 2, 1, 12, 0)
+
+
+def config(**changes):
+    values = dict(
+        columns=["no", "shop", "at"], system_code="s", data_type="check", shop_num_column_name="shop",
+        dt_or_dttm_column_name="at", dt_or_dttm_format="%d.%m.%Y %H:%M:%S", receipt_code_columns=["no"])
+    return ReceiptConfig(**{**values, **changes})
+
+
+def staged(spark, rows, cfg, mapping=(("10", 110), ("20", 120))):
+    raw = spark.createDataFrame(rows, ", ".join(f"`{name}` string" for name in cfg.columns))
+    raw = raw.withColumns({"__dt": F.lit(DAY), "__file_name": F.lit(FILE)})
+    return staging.stage(raw, spark.createDataFrame(list(mapping), "code string, object_id int"), cfg)
+
+
+def error_texts(spark, rows, cfg, **options):
+    return sorted(row["Error"] for row in staging.errors(staged(spark, rows, cfg, **options), cfg).collect())
+
+
+GOOD = ("1", "10", "15.01.2024 23:41:09")
+
+
+def test_valid_receipt(spark):
+    cfg = config()
+    df = staging.valid(staged(spark, [GOOD], cfg), cfg, AS_OF)
+    assert df.columns == [
+        "code", "dttm", "dttm_added", "dttm_modified", "version", "shop_id", "dt", "data_type", "info"]
+    assert tuple(df.first()) == (
+        "1", datetime(2024, 1, 15, 23, 41, 9), AS_OF, AS_OF, 0, 110, DAY, "check",
+        '{"no":"1","shop":"10","at":"15.01.2024 23:41:09","receipt_code":"1"}')
+
+
+@pytest.mark.parametrize(("text", "dttm"), [
+    ("15.01.2024 23:41:09", datetime(2024, 1, 15, 20, 41, 9)),
+    ("08.01.2024 10:00:00", datetime(2024, 1, 15, 10, 0, 0)),
+    ("22.01.2024 20:59:59", datetime(2024, 1, 15, 20, 59, 59)),
+    ("07.01.2024 10:00:00", None),
+    ("23.01.2024 00:00:00", None),
+])
+def test_fixed_date(spark, text, dttm):
+    cfg = config(fix_date=True)
+    rows = staging.valid(staged(spark, [("1", "10", text)], cfg), cfg).collect()
+    assert [row["dttm"] for row in rows] == ([dttm] if dttm else [])
+    if not dttm:
+        shown = datetime.strptime(text, cfg.dt_or_dttm_format)
+        assert error_texts(spark, [("1", "10", text)], cfg) == [
+            f"TypeError: Range between 2024-01-15 and {shown} is greater than 1 week: f.csv: row: 1"]
+
+
+def test_fixed_date_drops_and_shows_fractions(spark):
+    cfg = config(fix_date=True, dt_or_dttm_format="%Y-%m-%d %H:%M:%S.%f")
+    rows = [("1", "10", "2024-01-14 09:00:01.5"), ("2", "10", "2024-03-14 09:00:01.5")]
+    df = staged(spark, rows, cfg)
+    assert [row["dttm"] for row in staging.valid(df, cfg).collect()] == [datetime(2024, 1, 15, 9, 0, 1)]
+    assert "2024-03-14 09:00:01.500000 is" in staging.errors(df, cfg).first()["Error"]
+
+
+def test_offset_of_the_text_is_applied(spark):
+    cfg = config(dt_or_dttm_format="%Y-%m-%d %H:%M:%S%z")
+    df = staging.valid(staged(spark, [("1", "10", "2024-01-15 03:00:00+0300")], cfg), cfg)
+    assert df.first()["dttm"] == datetime(2024, 1, 15, 0, 0)
+
+
+@pytest.mark.parametrize(("row", "texts"), [
+    (("1", "999x", "15.01.2024 10:00:00"), ["can't map shop_id for shop_num='999x'"]),
+    (("1", None, "15.01.2024 10:00:00"), ["can't map shop_id for shop_num='None'"]),
+    (("1", "10", "31.02.2024 10:00:00"), ["ValueError: day is out of range for month: f.csv: row: 1"]),
+    (("1", "10", None), ["TypeError: strptime() argument 1 must be str, not None: f.csv: row: 1"]),
+    (("1", "x", "y"), [
+        "ValueError: time data 'y' does not match format '%d.%m.%Y %H:%M:%S': f.csv: row: 1",
+        "can't map shop_id for shop_num='x'"]),
+    (GOOD, []),
+])
+def test_errors(spark, row, texts):
+    assert error_texts(spark, [row], config()) == texts
+
+
+def test_error_rows_are_numbered_over_the_whole_file(spark):
+    rows = [("30", "10", "bad"), ("4", "10", "bad"), ("10", "x", "15.01.2024 10:00:00"), (None, "10", "bad")]
+    numbers = [int(t.rsplit(" ", 1)[1]) for t in error_texts(spark, rows, config()) if "row:" in t]
+    assert sorted(numbers) == [1, 3, 4]  # text order: null, 10, 30, 4
+
+
+@pytest.mark.parametrize("rows_per_task", [0, 1000])
+def test_a_code_listed_twice_gives_everything_twice(spark, rows_per_task):
+    cfg = config(rows_per_task=rows_per_task)
+    rows = [GOOD, ("2", "10", "bad"), ("3", "20", "bad")]
+    df = staged(spark, rows, cfg, mapping=[("10", 110), ("10", 111), ("20", 120), (None, 5)])
+    assert sorted(row["shop_id"] for row in staging.valid(df, cfg).collect()) == [110, 111]
+    assert sorted(row["shop_id"] for row in staging.shop_ids(df).collect()) == [110, 110, 111, 111, 120]
+    found = sorted(row["Error"].split(": ")[-1] for row in staging.errors(df, cfg).collect())
+    assert found == ["2", "2", "3"]
+    assert staging.counts(df).first().asDict() == {
+        "dt": DAY, "raw_rows": 3, "error_rows": 3, "valid_rows": 2, "mapped_rows": 5}
+
+
+def test_null_fields_are_absent_from_info(spark):
+    cfg = config(columns=["no", "shop", "at", "note"])
+    df = staging.valid(staged(spark, [(*GOOD, None)], cfg), cfg)
+    assert "note" not in df.first()["info"]
+
+
+def test_code_from_several_columns_skips_nulls(spark):
+    cfg = config(columns=["no", "shop", "at", "a", "b"], receipt_code_columns=["no", "a", "b"])
+    df = staging.valid(staged(spark, [(*GOOD, None, "z")], cfg), cfg)
+    assert df.first()["code"] == "1z"
+
+
+def test_hash_codes(spark):
+    df = spark.createDataFrame([("a", None, "b"), (None, None, None)], "x string, y string, z string")
+    codes = df.select(staging.receipt_code(["x", "y", "z"]).alias("code"))
+    assert [row["code"] for row in codes.collect()] == [190734147, 42]
+    assert codes.schema["code"].dataType.simpleString() == "int"
+    wide = df.select(staging.receipt_code(["x"], code_hash="xxhash64").alias("code"))
+    assert wide.schema["code"].dataType.simpleString() == "bigint"
+    with pytest.raises(ValueError, match="unknown code hash"):
+        staging.receipt_code(["x"], code_hash="md5")
+
+
+def test_short_rows_hash_like_rows_without_the_field(spark):
+    df = spark.createDataFrame([("a", "b", None)], "x string, y string, z string")
+    row = df.select(staging.receipt_code(["x", "y", "z"]), staging.receipt_code(["x", "y"])).first()
+    assert row[0] == row[1]
+
+
+def test_raw_columns_may_have_any_name(spark):
+    cfg = config(
+        columns=["index", "code", "shop_id", "dttm", "dt", "file.name", "version"], shop_num_column_name="code",
+        dt_or_dttm_column_name="dttm", receipt_code_columns=["index"])
+    rows = [("1", "10", "7", GOOD[2], "d", "f", "v"), ("2", "10", "7", "bad", "d", "f", "v")]
+    df = staged(spark, rows, cfg)
+    receipt = staging.valid(df, cfg).first()
+    assert receipt["shop_id"] == 110
+    assert receipt["info"] == (
+        '{"index":"1","code":"10","shop_id":"7","dttm":"15.01.2024 23:41:09","dt":"d","file.name":"f",'
+        '"version":"v","receipt_code":"1"}')
+    assert "row: 2" in staging.errors(df, cfg).first()["Error"]
+
+
+def test_raw_column_called_receipt_code(spark):
+    cfg = config(columns=["receipt_code", "shop", "at"], receipt_code_columns=["receipt_code", "shop"])
+    receipt = staging.valid(staged(spark, [GOOD], cfg), cfg).first()
+    assert receipt["code"] == "110"
+    assert receipt["info"] == '{"shop":"10","at":"15.01.2024 23:41:09","receipt_code":"110"}'
+
+
+def test_counts_match_the_outputs(spark):
+    cfg = config()
+    rows = [(str(n), str(n % 4 * 10), GOOD[2] if n % 3 else f"bad {n}") for n in range(60)]
+    df = staged(spark, rows, cfg)
+    found = staging.counts(df).first()
+    assert found["raw_rows"] == 60
+    assert found["valid_rows"] == staging.valid(df, cfg).count()
+    assert found["error_rows"] == staging.errors(df, cfg).count()
+    assert found["mapped_rows"] == staging.shop_ids(df).count()
+
+
+def test_same_outputs_by_broadcast_and_by_shuffle(spark):
+    rows = [(str(n), str(n % 4 * 10), GOOD[2] if n % 3 else f"bad {n}") for n in range(60)]
+    small, large = config(), config(broadcast_bytes=0, rows_per_task=0)
+    for output in (lambda c: staging.valid(staged(spark, rows, c), c, AS_OF),
+                   lambda c: staging.errors(staged(spark, rows, c), c)):
+        assert sorted(map(tuple, output(small).collect())) == sorted(map(tuple, output(large).collect()))
+
+
+def test_column_names_must_differ():
+    with pytest.raises(ValueError, match="must differ"):
+        config(columns=["a", "a"])

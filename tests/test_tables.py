@@ -1,0 +1,122 @@
+import uuid
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import types as T
+
+from checks.inputs import database as local_database
+from tillroll.operators.schema import RECEIPT, RECEIPT_COLUMNS, SCHEMAS, conform, descriptions, with_defaults
+from tillroll.plans.imports import import_receipts, import_records
+from tillroll.sinks.tables import append_table
+from tillroll.sources.records import read_records
+from tillroll.sources.tables import Database, Split, preview_table, read_table
+
+
+@pytest.fixture
+def database(spark):
+    return local_database(spark)
+
+
+@pytest.fixture
+def table():
+    return "t" + uuid.uuid4().hex
+
+
+def rows(df):
+    return sorted((tuple(row) for row in df.collect()), key=str)
+
+
+def test_postgresql_options():
+    database = Database.postgresql("host", 5432, "db", "me", "secret", fetchsize="1000")
+    assert database.url == "jdbc:postgresql://host:5432/db"
+    assert database.options == {
+        "user": "me", "password": "secret", "driver": "org.postgresql.Driver", "fetchsize": "1000"}
+    assert "secret" not in repr(database)
+
+
+def test_scan_whole_and_split(spark, database, table):
+    append_table(spark.range(100).toDF("n"), database, table, connections=2)
+    assert read_table(spark, database, table).rdd.getNumPartitions() == 1
+    split = read_table(spark, database, table, Split("n", 10, 50, 4))
+    assert split.rdd.getNumPartitions() == 4
+    assert rows(split) == rows(spark.range(100))
+    assert "PushedFilters: [*IsNotNull(n), *GreaterThan(n,90)]" in \
+        split.filter("n > 90")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_preview(spark, database, table):
+    append_table(spark.range(9).toDF("n"), database, table)
+    assert rows(preview_table(spark, database, table, order_by="n")) == [(0,), (1,), (2,)]
+    assert preview_table(spark, database, table, rows=5).count() == 5
+
+
+def test_append_doubles_and_skip_does_not(spark, database, table):
+    schema = "shop_id int, code string, dttm timestamp, data_type string"
+    first = spark.createDataFrame([(1, "a", datetime(2024, 1, 1), "t"), (2, None, None, "t")], schema)
+    more = spark.createDataFrame([(3, "a", datetime(2024, 1, 1), "t"), (3, "a", datetime(2024, 1, 1), "t")], schema)
+    append_table(first, database, table)
+    append_table(first, database, table)
+    assert read_table(spark, database, table).count() == 4
+    append_table(first.union(more), database, table, on_existing="skip")
+    assert read_table(spark, database, table).count() == 6
+    append_table(first.union(more), database, table, on_existing="skip")
+    assert read_table(spark, database, table).count() == 6
+    with pytest.raises(ValueError, match="on_existing"):
+        append_table(first, database, table, on_existing="replace")
+
+
+def test_declared_schema():
+    assert [(f.name, f.dataType.simpleString()) for f in RECEIPT] == [
+        ("shop_id", "int"), ("code", "string"), ("dttm", "timestamp"), ("dt", "date"),
+        ("dttm_added", "timestamp"), ("info", "string"), ("data_type", "string"), ("version", "int"),
+        ("dttm_modified", "timestamp")]
+    assert SCHEMAS["forecast_receipt"] is RECEIPT
+    assert set(descriptions()) == {field.name for field in RECEIPT}
+    assert set(descriptions()) - set(RECEIPT_COLUMNS) == {"shop_id", "dttm_modified"}
+
+
+def test_conform_and_defaults(spark):
+    df = spark.createDataFrame([(5, "7", None, "x")], "code int, shop_id string, version long, other string")
+    found = conform(df)
+    assert found.schema.names == RECEIPT.names
+    assert found.schema["dttm"].metadata == {"comment": descriptions()["dttm"]}
+    assert [f.dataType for f in found.schema] == [f.dataType for f in RECEIPT]
+    row = with_defaults(found, date(2024, 2, 3)).first()
+    assert (row["shop_id"], row["code"], row["version"]) == (7, "5", 0)
+    assert row["dttm_added"] == row["dttm_modified"] == datetime(2024, 2, 3)
+    today = with_defaults(found).first()["dttm_added"]
+    assert today == datetime.combine(today.date(), datetime.min.time())
+
+
+def test_import_one_day(spark, database, table, tmp_path):
+    path = str(tmp_path / "receipts.parquet")
+    receipts = spark.createDataFrame(
+        [(1, 9, datetime(2024, 1, 1, 5), date(2024, 1, 1)), (2, 9, datetime(2024, 1, 2, 5), date(2024, 1, 2))],
+        "code int, shop_id int, dttm timestamp, dt date")
+    receipts.write.partitionBy("dt").parquet(path)
+    import_receipts(spark, path, database, table, day=date(2024, 1, 2), schema=RECEIPT)
+    found = read_table(spark, database, table)
+    assert found.columns == RECEIPT.names
+    assert rows(found.select("code", "dt")) == [("2", date(2024, 1, 2))]
+
+
+def test_import_keeps_the_columns_of_an_undeclared_table(spark, database, table, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "any"))
+    import_receipts(spark, str(tmp_path / "any"), database, table)
+    assert rows(read_table(spark, database, table)) == [(0,), (1,), (2,)]
+
+
+def test_records(spark, database, table, tmp_path):
+    path = tmp_path / "records.json"
+    path.write_text("".join(
+        f'{{"dttm": "2024-01-01 0{n % 10}:00:00", "shop_id": "{n}", "extra": {n}}}\n' for n in range(12)))
+    records = read_records(spark, str(path), limit=10, order_by="extra")
+    assert records.schema["dttm"].dataType == T.TimestampType()
+    assert [row["shop_id"] for row in records.collect()] == list(range(10))
+    assert read_records(spark, str(path)).count() == 12
+    import_records(records, database, table, date(2024, 5, 1))
+    loaded = read_table(spark, database, table)
+    assert loaded.count() == 10
+    assert {row["dttm_added"] for row in loaded.collect()} == {datetime(2024, 5, 1)}
+    with pytest.raises(ValueError, match="unknown source type"):
+        read_records(spark, str(path), "pickle")

@@ -35,39 +35,42 @@ def receipt_code(
 
 
 def with_dttm(df: DataFrame, source: str, fmt: str, day: str, fix_date: bool = False) -> DataFrame:
-    """Add ``__dttm``, ``__error_class`` and ``__error_value``, parsed from ``source``.
+    """Add ``__dttm``, ``__dated``, ``__error_class`` and ``__error_value``, parsed from ``source``.
 
     With ``fix_date`` the date is replaced by ``day`` and the hour is capped, if the parsed date is
-    near enough to ``day``; otherwise the row gets a range error.
+    near enough to ``day``; otherwise the row gets a range error. ``__dated`` says whether ``__dttm`` is
+    set and costs less to filter on.
     """
     parsed = with_strptime(df, source, fmt)
-    wall = F.col("__wall")
+    wall, offset = F.col("__wall"), F.col("__utc_offset")
     if not fix_date:
-        offset = F.col("__utc_offset")
         shifted = F.concat(wall.cast("string"), offset).cast("timestamp")
         dttm = F.when(offset.isNull(), wall.cast("timestamp")).otherwise(shifted)
-        return parsed.withColumn("__dttm", dttm).drop("__wall", "__utc_offset")
+        return parsed.withColumns({"__dttm": dttm, "__dated": wall.isNotNull()}).drop("__wall", "__utc_offset")
 
     text = wall.cast("string")
     fraction = F.split_part(text, F.lit("."), F.lit(2))
     shown = F.concat(
         F.split_part(text, F.lit("."), F.lit(1)),
         F.when(fraction != "", F.concat(F.lit("."), F.rpad(fraction, 6, "0"))).otherwise(""),
-        F.coalesce("__utc_offset", F.lit("")))
+        F.coalesce(offset, F.lit("")))
     range_error = F.concat(
         F.lit("Range between "), F.col(day).cast("string"), F.lit(" and "), shown,
         F.lit(" is greater than 1 week"))
+    days_off = F.abs(F.datediff(F.col(day), F.to_date(wall)))
+    dated = F.coalesce(days_off <= MAX_DAYS_OFF, F.lit(False))
     moved = F.try_make_timestamp_ntz(
         F.year(day), F.month(day), F.dayofmonth(day),
         F.least(F.hour(wall), F.lit(LAST_HOUR)), F.minute(wall), F.second(wall))
+    far = wall.isNotNull() & ~F.col("__dated")
     return (
-        parsed.withColumn("__far", F.abs(F.datediff(F.col(day), F.to_date(wall))) > MAX_DAYS_OFF)
+        parsed.withColumn("__dated", dated)
         .withColumns({
-            "__dttm": F.when(~F.col("__far"), moved).cast("timestamp"),
-            "__error_class": F.when(F.col("__far"), "TypeError").otherwise(F.col("__error_class")),
-            "__error_value": F.when(F.col("__far"), range_error).otherwise(F.col("__error_value")),
+            "__dttm": F.when(F.col("__dated"), moved).cast("timestamp"),
+            "__error_class": F.when(far, "TypeError").otherwise(F.col("__error_class")),
+            "__error_value": F.when(far, range_error).otherwise(F.col("__error_value")),
         })
-        .drop("__wall", "__utc_offset", "__far")
+        .drop("__wall", "__utc_offset")
     )
 
 

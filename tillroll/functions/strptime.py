@@ -1,8 +1,11 @@
 """Parse text by a Python ``strptime`` format with Spark expressions.
 
-A format is turned once, on the driver, into one regular expression. Per row Spark then runs one
-``regexp_replace`` and one ``split``, and builds the time from the pieces, all inside code generation.
-Formats that the expression cannot follow exactly go through ``datetime.strptime`` in a pandas UDF.
+A format becomes, once and on the driver, one regular expression. Per row Spark then rewrites the text
+as ``2024-1-31 9:05:00`` by one ``regexp_replace`` and casts it; both are part of code generation, and
+the time is a single expression, so that a filter pushed below it does not multiply the work. Error
+texts are worked out for rejected rows only.
+
+Formats with other directives go through ``datetime.strptime`` in a pandas UDF.
 
 Two points differ from Python and are accepted: digits outside ASCII are rejected, and the message for
 a value with control characters other than tab, newline and carriage return shows them unescaped.
@@ -18,42 +21,60 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The text each strptime directive accepts.
+# The text that each strptime directive accepts. Year 0 and the blank of a day are
+# accepted but not captured, so year 0 leaves a text that no cast reads.
 DIRECTIVES = {
-    "Y": r"[0-9][0-9][0-9][0-9]",
-    "y": r"[0-9][0-9]",
-    "m": r"1[0-2]|0[1-9]|[1-9]",
-    "B": r"january|february|march|april|may|june|july|august|september|october|november|december",
-    "b": r"jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec",
-    "d": r"3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9]",
-    "H": r"2[0-3]|[01][0-9]|[0-9]",
-    "I": r"1[0-2]|0[1-9]|[1-9]",
-    "p": r"am|pm",
-    "M": r"[0-5][0-9]|[0-9]",
-    "S": r"6[01]|[0-5][0-9]|[0-9]",
-    "f": r"[0-9]{1,6}",
+    "Y": r"(?:0000|(?<Y>[0-9][0-9][0-9][0-9]))",
+    "y": r"(?<y>[0-9][0-9])",
+    "m": r"(?<m>1[0-2]|0[1-9]|[1-9])",
+    "d": r"(?:(?<d>3[01]|[12][0-9]|0[1-9]|[1-9])| (?<e>[1-9]))",
+    "H": r"(?<H>2[0-3]|[01][0-9]|[0-9])",
+    "M": r"(?<M>[0-5][0-9]|[0-9])",
+    "S": r"(?<S>6[01]|[0-5][0-9]|[0-9])",
+    "f": r"(?<f>[0-9]{1,6})",
 }
+# What a format without the directive stands for.
+DEFAULTS = {"Y": "1900", "m": "1", "d": "1", "H": "0", "M": "0", "S": "0", "f": "0"}
 # Fixed value: two-digit years from here on belong to the 1900s.
 CENTURY_PIVOT = 69
 
-# Directives of one line set the same part of the time, so a format may hold one of each line only.
-_EXCLUSIVE = ("Yy", "mbB", "HI")
-_SEPARATOR = "\x01"
+_FLAGS = "(?siU)"
 _TOKEN = re.compile(r"%(?P<directive>.)|(?P<space>\s+)|(?P<text>[^%\s]+)", re.DOTALL)
 
 
 @dataclass(frozen=True)
 class FormatPattern:
-    regex: str
+    """``prefix`` matches the start of a text the one way Python does; ``whole`` matches any text.
+
+    ``whole`` captures the directives, and the first surplus character as ``x``; of a text that does not
+    fit it captures nothing. The texts built from it put ``x`` in two places, of which each is
+    invalid for a cast where the other may pass (blanks within a year, anything else before its sign).
+    """
+
+    prefix: str
     directives: str
 
     @property
-    def replacement(self) -> str:
-        return _SEPARATOR.join(f"${i + 1}" for i in range(len(self.directives) + 1))
+    def whole(self) -> str:
+        return self.prefix.replace(r"\A", r"\A(?:", 1) + r"(?:\z|(?<x>.).*)|.*)\z"
+
+    def _shown(self, directive: str) -> str:
+        if directive not in self.directives:
+            return DEFAULTS[directive]
+        return "${d}${e}" if directive == "d" else f"${{{directive}}}"
+
+    @property
+    def date_text(self) -> str:
+        year = "20${y}" if "y" in self.directives else self._shown("Y")
+        return f"${{x}}+{year}${{x}}-{self._shown('m')}-{self._shown('d')}"
+
+    @property
+    def time_text(self) -> str:
+        return "{}:{}:{}.{}".format(*map(self._shown, "HMSf"))
 
 
 def format_pattern(fmt: str) -> FormatPattern | None:
-    """The Spark pattern for ``fmt``, or None where only Python itself gives the same result."""
+    """The pattern for ``fmt``, or None where only Python itself gives the same result."""
     regex, directives, position = "", "", 0
     while position < len(fmt):
         token = _TOKEN.match(fmt, position)
@@ -67,16 +88,15 @@ def format_pattern(fmt: str) -> FormatPattern | None:
             if directive not in DIRECTIVES or directive in directives:
                 return None
             directives += directive
-            regex += f"({DIRECTIVES[directive]})"
+            regex += DIRECTIVES[directive]
         elif token["space"]:
             regex += r"[\s\x1c-\x1f]+"
         else:
             regex += r"\Q" + token["text"] + r"\E"
-    if not directives or _SEPARATOR in fmt or "\\E" in fmt:
+    # A text without captures must not pass as a time, which it could if only a fraction were missing.
+    if directives in ("", "f") or "\\E" in fmt or ("Y" in directives and "y" in directives):
         return None
-    if any(sum(d in group for d in directives) > 1 for group in _EXCLUSIVE):
-        return None
-    return FormatPattern(rf"(?siU)^{regex}(.*)\z", directives)
+    return FormatPattern(rf"{_FLAGS}\A{regex}", directives)
 
 
 def python_repr(value: Column) -> Column:
@@ -95,92 +115,54 @@ def with_strptime(df: DataFrame, source: str, fmt: str) -> DataFrame:
     Either ``__wall`` or both error columns are set. ``__utc_offset`` is set only for formats that
     read an offset.
     """
+    value = F.col("`" + source.replace("`", "``") + "`")
     pattern = format_pattern(fmt)
-    return _with_python(df, source, fmt) if pattern is None else _with_pattern(df, source, fmt, pattern)
-
+    return _with_python(df, value, fmt) if pattern is None else _with_pattern(df, value, fmt, pattern)
 
-def _with_pattern(df: DataFrame, source: str, fmt: str, pattern: FormatPattern) -> DataFrame:
-    value = F.col(f"`{source}`")
-    width = len(pattern.directives)
 
-    def text(directive: str) -> Column:
-        return F.get("__pieces", F.lit(pattern.directives.index(directive)))
-
-    def number(directive: str, default: int) -> Column:
-        return text(directive).try_cast("int") if directive in pattern.directives else F.lit(default)
-
-    def month_named(directive: str) -> Column:
-        names = F.array(*[F.lit(name) for name in DIRECTIVES[directive].split("|")])
-        return F.array_position(names, F.lower(text(directive))).cast("int")
-
-    year = number("Y", 1900)
+def _with_pattern(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern) -> DataFrame:
+    wall = F.regexp_replace(value, pattern.whole, f"{pattern.date_text} {pattern.time_text}")
+    wall = wall.try_cast("timestamp_ntz")
+    day = F.regexp_replace(value, pattern.whole, pattern.date_text).try_cast("date")
     if "y" in pattern.directives:
-        short = number("y", 0)
-        year = short + F.when(short >= CENTURY_PIVOT, 1900).otherwise(2000)
-    month = number("m", 1)
-    for directive in "bB":
-        if directive in pattern.directives:
-            month = month_named(directive)
-    hour = number("H", 0)
-    if "I" in pattern.directives:
-        afternoon = F.lower(text("p")) == "pm" if "p" in pattern.directives else F.lit(False)
-        hour = number("I", 0) % 12 + F.when(afternoon, 12).otherwise(0)
-    micros = F.rpad(text("f"), 6, "0") if "f" in pattern.directives else F.lit("0")
-
-    # Each step is a projection of its own: later steps use its columns several times, and Catalyst
-    # keeps such projections apart, so that the expression is worked out once per row.
-    df = (
-        df.withColumn("__joined", F.regexp_replace(value, pattern.regex, pattern.replacement))
-        .withColumn("__pieces", F.split("__joined", _SEPARATOR, width + 1))
-        .withColumns({
-            "__rest": F.get("__pieces", F.lit(width)),
-            "__year": year,
-            "__day": F.try_make_timestamp_ntz(year, month, number("d", 1), F.lit(0), F.lit(0), F.lit(0)),
-            "__second": number("S", 0),
-            "__time": F.try_make_timestamp_ntz(
-                year, month, number("d", 1), hour, number("M", 0),
-                F.concat_ws(".", number("S", 0).cast("string"), micros).try_cast("decimal(8,6)")),
-        })
-    )
-    unmatched = F.concat(
-        F.lit("time data "), python_repr(value), F.lit(f" does not match format {fmt!r}"))
+        late = F.year(wall) >= 2000 + CENTURY_PIVOT
+        wall = F.when(late, wall - F.expr("INTERVAL '100' YEAR")).otherwise(wall)
+
+    unmatched = F.concat(F.lit("time data "), python_repr(value), F.lit(f" does not match format {fmt!r}"))
+    rest = F.regexp_replace(value, pattern.prefix, "")
+    year_text = F.regexp_replace(value, pattern.whole, "${Y}") if "Y" in pattern.directives else F.lit("1")
     error = (
-        F.when(value.isNull(), "strptime() argument 1 must be str, not None")
-        .when(F.col("__joined") == value, unmatched)
-        .when(F.col("__rest") != "", F.concat(F.lit("unconverted data remains: "), F.col("__rest")))
-        .when(F.col("__year") == 0, "year 0 is out of range")
-        .when(F.col("__day").isNull(), "day is out of range for month")
-        .when(F.col("__second") > 59, "second must be in 0..59")
-    )
-    return (
-        df.withColumn("__error_value", error)
-        .withColumns({
-            "__wall": F.when(F.col("__error_value").isNull(), F.col("__time")),
-            "__utc_offset": F.lit(None).cast("string"),
-            "__error_class": F.when(value.isNull(), "TypeError").when(
-                F.col("__error_value").isNotNull(), "ValueError"),
-        })
-        .drop("__joined", "__pieces", "__rest", "__year", "__day", "__second", "__time")
+        F.when(F.col("__wall").isNotNull(), None)
+        .when(value.isNull(), "strptime() argument 1 must be str, not None")
+        .when(~value.rlike(pattern.prefix), unmatched)
+        .when(rest != "", F.concat(F.lit("unconverted data remains: "), rest))
+        .when(year_text == "", "year 0 is out of range")
+        .when(day.isNull(), "day is out of range for month")
+        .otherwise("second must be in 0..59")
     )
+    kind = F.when(F.col("__wall").isNull(), F.when(value.isNull(), "TypeError").otherwise("ValueError"))
+    return df.withColumn("__wall", wall).withColumns({
+        "__utc_offset": F.lit(None).cast("string"), "__error_class": kind, "__error_value": error})
 
 
-def _with_python(df: DataFrame, source: str, fmt: str) -> DataFrame:
+def _with_python(df: DataFrame, value: Column, fmt: str) -> DataFrame:
     @F.pandas_udf("wall string, utc_offset string, error_class string, error_value string")
     def parse(values: pd.Series) -> pd.DataFrame:
-        def one(value):
+        def one(text):
             try:
-                moment = datetime.strptime(value, fmt)
+                moment = datetime.strptime(text, fmt)
             except Exception as error:
                 return None, None, type(error).__name__, str(error)
             wall = moment.replace(tzinfo=None)
             offset = moment.isoformat()[len(wall.isoformat()):]
             return wall.isoformat(" "), offset or None, None, None
 
-        rows = [one(value) for value in values.astype(object).where(values.notna(), None)]
+        rows = [one(text) for text in values.astype(object).where(values.notna(), None)]
         return pd.DataFrame(rows, columns=["wall", "utc_offset", "error_class", "error_value"], dtype=object)
 
+    # Called non-deterministic so that Catalyst neither repeats it nor moves it past a filter.
     return (
-        df.withColumn("__parsed", parse(F.col(f"`{source}`")))
+        df.withColumn("__parsed", parse.asNondeterministic()(value))
         .withColumns({
             "__wall": F.col("__parsed.wall").cast("timestamp_ntz"),
             "__utc_offset": F.col("__parsed.utc_offset"),

@@ -34,23 +34,7 @@ def with_row_index(
 
 
 def _sorted_across_tasks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    # The rows are written first: the range bounds are sampled from them in a pass of its own, and the
-    # salt must come out the same if a task is run again. The salt only parts equal rows, which
-    # would otherwise all meet in one task.
-    rows = materialise(df).withColumn("__salt", F.monotonically_increasing_id())
-    sort = [*keys, *order, "__salt"]
-    ordinal = F.col("__ordinal")
-    placed = materialise(
-        rows.repartitionByRange(*sort)
-        .sortWithinPartitions(*sort)
-        .drop("__salt")
-        .withColumn("__ordinal", F.monotonically_increasing_id())
-        .withColumns({
-            "__part": F.shiftright(ordinal, _POSITION_BITS).cast("int"),
-            "__position": ordinal.bitwiseAND((1 << _POSITION_BITS) - 1),
-        })
-        .drop("__ordinal")
-    )
+    placed = _placed(df, [*keys, *order])
     # One row per task and group that meet: at most the number of tasks plus the number of groups.
     pieces = materialise(
         placed.groupBy(*keys, "__part").agg(
@@ -65,3 +49,26 @@ def _sorted_across_tasks(df: DataFrame, keys: list[str], order: list[str]) -> Da
     return joined.select(
         *[placed[name] for name in df.columns],
         (F.col("__before") + F.col("__position") - F.col("__first") + 1).alias("__index"))
+
+
+def _placed(df: DataFrame, sort: list[str]) -> DataFrame:
+    """``df`` sorted across tasks, with the task ``__part`` and the ``__position`` within it.
+
+    The rows are written first: the range bounds are sampled from them in a pass of its own, and the
+    salt must come out the same if a task is run again. The salt only parts equal rows, which would
+    otherwise all meet in one task. The result is written too, as it is read for the counts of the tasks
+    and again for the rows, and both must see the same bounds.
+    """
+    rows = materialise(df).withColumn("__salt", F.monotonically_increasing_id())
+    ordinal = F.col("__ordinal")
+    return materialise(
+        rows.repartitionByRange(*sort, "__salt")
+        .sortWithinPartitions(*sort, "__salt")
+        .drop("__salt")
+        .withColumn("__ordinal", F.monotonically_increasing_id())
+        .withColumns({
+            "__part": F.shiftright(ordinal, _POSITION_BITS).cast("int"),
+            "__position": ordinal.bitwiseAND((1 << _POSITION_BITS) - 1),
+        })
+        .drop("__ordinal")
+    )

@@ -86,7 +86,7 @@ def shop_ids(staged: DataFrame) -> DataFrame:
 
 def counts(staged: DataFrame) -> DataFrame:
     """Rows read, errors, receipts and mapped rows per day, in one pass."""
-    unmapped, undated = F.col("__shop_id").isNull(), F.col("__dttm").isNull()
+    unmapped, undated = F.col("__shop_id").isNull(), ~F.col("__dated")
     return staged.groupBy(F.col("__dt").alias("dt")).agg(
         F.count_if(F.col("__copy") == 1).alias("raw_rows"),
         (F.count_if(unmapped) + F.count_if(undated)).alias("error_rows"),
@@ -126,7 +126,7 @@ def indexed_rejects(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
     tie = F.xxhash64(*[quoted(name) for name in others]) if others else F.lit(0).cast("long")
     rows = staged.filter(F.col("__copy") == 1).select(
         "__dt", "__file_name", quoted(first).alias("__first_value"), tie.alias("__tie"), "__copies",
-        F.col("__dttm").isNull().alias("__rejected"), "__error_class", "__error_value")
+        (~F.col("__dated")).alias("__rejected"), "__error_class", "__error_value")
     sizes = materialise(
         rows.groupBy("__dt", "__file_name")
         .agg(F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__rejected")).alias("__rejects"))
@@ -141,4 +141,4 @@ def indexed_rejects(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
 
 
 def _is_valid() -> Column:
-    return F.col("__shop_id").isNotNull() & F.col("__dttm").isNotNull()
+    return F.col("__shop_id").isNotNull() & F.col("__dated")
