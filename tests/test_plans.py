@@ -18,6 +18,11 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def parses(plan):
+    """How often the plan works out the time; scans repeat their filters for information only."""
+    return sum(line.count("regexp_replace") for line in plan.splitlines() if "FileScan" not in line)
+
+
 @pytest.mark.parametrize("fix_date", [False, True])
 def test_staging_needs_no_python_and_moves_no_raw_row(spark, fix_date):
     staged = staging.stage(inputs.raw_rows(spark, SF), inputs.mapping(spark, SF), inputs.config(fix_date=fix_date))
@@ -32,12 +37,12 @@ def test_valid_receipts_need_no_shuffle_and_parse_once_before_the_join(staged):
     assert "hashpartitioning" not in plan and "SinglePartition" not in plan
     assert "LeftOuter" not in plan
     # once in the filter below the join, once for the receipts that are left
-    assert plan.count("regexp_replace") == 2
+    assert parses(plan) == 2
 
 
 def test_filter_on_the_fixed_date_parses_once(spark):
     staged = staging.stage(inputs.raw_rows(spark, SF), inputs.mapping(spark, SF), inputs.config(fix_date=True))
-    assert plan_of(staged.filter("__dated").select("__dt")).count("regexp_replace") == 1
+    assert parses(plan_of(staged.filter("__dated").select("__dt"))) == 1
 
 
 def test_shop_ids_read_only_the_shop_number(staged):

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from checks.inputs import database as local_database
 from tillroll.operators.schema import RECEIPT, RECEIPT_COLUMNS, SCHEMAS, conform, descriptions, with_defaults
 from tillroll.plans.imports import import_receipts, import_records
-from tillroll.sinks.tables import append_table
+from tillroll.sinks.tables import append_table, without_existing
 from tillroll.sources.records import read_records
 from tillroll.sources.tables import Database, Split, preview_table, read_table
 
@@ -65,6 +65,13 @@ def test_append_doubles_and_skip_does_not(spark, database, table):
         append_table(first, database, table, on_existing="replace")
 
 
+@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
+def test_without_existing(spark, max_bytes):
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "a"), (2, "a"), (None, None)], "k int, c string")
+    known = spark.createDataFrame([(1, "a"), (1, "a"), (None, None), (5, "x")], "k long, c string")
+    assert rows(without_existing(df, known, ["k", "c"], max_bytes)) == [(1, None), (2, "a"), (2, "a")]
+
+
 def test_declared_schema():
     assert [(f.name, f.dataType.simpleString()) for f in RECEIPT] == [
         ("shop_id", "int"), ("code", "string"), ("dttm", "timestamp"), ("dt", "date"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.functions.receipts import quoted
 from tillroll.operators.lookup import join_lookup
 from tillroll.scratch import materialise
 
@@ -42,12 +43,11 @@ def _sorted_across_tasks(df: DataFrame, keys: list[str], order: list[str]) -> Da
     )
     before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
-        *keys, "__part", "__first",
+        *[F.col(name).alias(f"{name}__piece") for name in [*keys, "__part"]], "__first",
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
-    same_piece = [placed[name].eqNullSafe(offsets[name]) for name in [*keys, "__part"]]
-    joined = join_lookup(placed, offsets, same_piece, "inner")
-    return joined.select(
-        *[placed[name] for name in df.columns],
+    same_piece = [F.col(name).eqNullSafe(F.col(f"{name}__piece")) for name in [*keys, "__part"]]
+    return join_lookup(placed, offsets, same_piece, "inner").select(
+        *map(quoted, df.columns),
         (F.col("__before") + F.col("__position") - F.col("__first") + 1).alias("__index"))
 
 

@@ -84,11 +84,12 @@ def history_extract(
 
 
 def read_output(spark: SparkSession, target_base: str, cfg: ReceiptConfig, output: str) -> DataFrame:
-    """One output of the partitioned layout."""
+    """One output of the partitioned layout. Only the errors can be read while there are none at all."""
     if output not in OUTPUTS:
         raise ValueError(f"unknown output {output!r}")
     path = f"{target_base.rstrip('/')}/{cfg.system_code}_{cfg.data_type}_{output}.parquet"
-    return spark.read.parquet(path).withColumn("dt", F.col("dt").cast("date"))
+    reader = spark.read.schema("Error string, dt date") if output == "errors" else spark.read
+    return reader.parquet(path).withColumn("dt", F.col("dt").cast("date"))
 
 
 def _write_partitioned(outputs: dict[str, DataFrame], prefix: str, days: list[DayCounts]) -> None:
