@@ -43,10 +43,11 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw rows with their file date and name; every tenth time is unreadable and every
     seventeenth missing."""
     event = F.col("event_id")
-    day = F.to_date("ts")
-    stamp = F.split_part(F.col("ts").cast("string"), F.lit(" "), F.lit(2))
-    written = F.concat(F.date_format(day, "dd.MM.yyyy "), F.substring(stamp, 1, 8))
-    return table(spark, sf_dir, "events").select(
+    digits = lambda start, length: F.substring("shown", start, length)
+    written = F.concat(
+        digits(9, 2), F.lit("."), digits(6, 2), F.lit("."), digits(1, 4), F.lit(" "), digits(12, 8))
+    events = table(spark, sf_dir, "events").withColumn("shown", F.col("ts").cast("string"))
+    return events.select(
         event.cast("string").alias("receipt_no"),
         F.col("user_id").cast("string").alias("shop_num"),
         F.when(event % 10 == 0, F.concat(F.lit("bad-"), event.cast("string")))
@@ -54,8 +55,8 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(written)
         .alias("dttm_raw"),
         "event_type",
-        day.alias("__dt"),
-        F.concat(F.lit("delivery_"), F.date_format(day, "yyyyMMdd"), F.lit(".csv")).alias("__file_name"),
+        F.to_date("ts").alias("__dt"),
+        F.concat(F.lit("delivery_"), digits(1, 4), digits(6, 2), digits(9, 2), F.lit(".csv")).alias("__file_name"),
     )
 
 

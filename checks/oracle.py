@@ -153,7 +153,7 @@ ORACLE = {
                CASE WHEN dttm_raw IS NULL OR far THEN 'TypeError'
                     WHEN parsed IS NULL THEN 'ValueError' END AS error_class,
                CASE WHEN dttm_raw IS NULL THEN 'strptime() argument 1 must be str, not None'
-                    WHEN parsed IS NULL THEN 'time data ''' || dttm_raw || ''' {BAD_FORMAT}'
+                    WHEN parsed IS NULL THEN 'time data ''' || dttm_raw || ''' {BAD_FORMAT}
                     WHEN far THEN 'Range between 2024-01-15 and ' || strftime(parsed, '%Y-%m-%d %H:%M:%S')
                         || ' is greater than 1 week' END AS error_value
         FROM fixed""",

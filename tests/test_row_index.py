@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 
 from tillroll.operators.row_index import _placed, with_row_index
+from tillroll.scratch import materialise
 
 
 @pytest.mark.parametrize("rows_per_task", [0, 10_000])
@@ -37,7 +38,7 @@ def test_copies_of_one_row_are_spread_over_tasks(spark):
     df = spark.createDataFrame([("f", "same")] * 20_000, "file string, value string").repartition(4)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        placed = _placed(df, ["file", "value"])
+        placed = _placed(materialise(df), ["file", "value"])
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     sizes = [row["count"] for row in placed.groupBy("__part").count().collect()]

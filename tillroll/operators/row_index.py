@@ -21,17 +21,19 @@ def with_row_index(
     order: Sequence[str],
     largest: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    written: bool = False,
 ) -> DataFrame:
     """Add ``__index``, the 1-based position of the row by ``order`` among the rows of its ``keys``.
 
     Groups of up to ``rows_per_task`` rows are numbered by a window. If the largest group (counted
     here unless given) has more, all rows are sorted across tasks instead and no task holds a group.
+    That needs rows that come out the same when read again; ``written`` says that ``df`` reads a table.
     """
     if largest is None:
         largest = df.groupBy(*keys).count().agg(F.max("count").alias("rows")).first()["rows"] or 0
     if largest <= rows_per_task:
         return df.withColumn("__index", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return _sorted_across_tasks(df, list(keys), list(order))
+    return _sorted_across_tasks(df if written else materialise(df), list(keys), list(order))
 
 
 def _sorted_across_tasks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -54,12 +56,12 @@ def _sorted_across_tasks(df: DataFrame, keys: list[str], order: list[str]) -> Da
 def _placed(df: DataFrame, sort: list[str]) -> DataFrame:
     """``df`` sorted across tasks, with the task ``__part`` and the ``__position`` within it.
 
-    The rows are written first: the range bounds are sampled from them in a pass of its own, and the
-    salt must come out the same if a task is run again. The salt only parts equal rows, which would
-    otherwise all meet in one task. The result is written too, as it is read for the counts of the tasks
-    and again for the rows, and both must see the same bounds.
+    ``df`` reads a table: the range bounds are sampled from it in a pass of its own, and the salt must
+    come out the same if a task is run again. The salt only parts equal rows, which would otherwise
+    all meet in one task. The result is written, as it is read for the counts of the tasks and again
+    for the rows, and both must see the same bounds.
     """
-    rows = materialise(df).withColumn("__salt", F.monotonically_increasing_id())
+    rows = df.withColumn("__salt", F.monotonically_increasing_id())
     ordinal = F.col("__ordinal")
     return materialise(
         rows.repartitionByRange(*sort, "__salt")

@@ -120,13 +120,13 @@ def indexed_rejects(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
 
     Rows are numbered by the first raw column. Ties, which may be numbered in any order, are settled
     by a hash of the other columns, so that 8 bytes per row are sorted instead of the whole row.
-    Only files with a failed time are sorted at all.
+    These few columns are written once and read for all else. Only files with a failed time are sorted.
     """
     first, *others = cfg.columns
     tie = F.xxhash64(*[quoted(name) for name in others]) if others else F.lit(0).cast("long")
-    rows = staged.filter(F.col("__copy") == 1).select(
+    rows = materialise(staged.filter(F.col("__copy") == 1).select(
         "__dt", "__file_name", quoted(first).alias("__first_value"), tie.alias("__tie"), "__copies",
-        (~F.col("__dated")).alias("__rejected"), "__error_class", "__error_value")
+        (~F.col("__dated")).alias("__rejected"), "__error_class", "__error_value"))
     sizes = materialise(
         rows.groupBy("__dt", "__file_name")
         .agg(F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__rejected")).alias("__rejects"))
@@ -136,7 +136,8 @@ def indexed_rejects(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
     affected = join_lookup(
         rows, sizes.select("__dt", "__file_name"), ["__dt", "__file_name"], "left_semi", cfg.broadcast_bytes)
     indexed = with_row_index(
-        affected, ["__dt", "__file_name"], ["__first_value", "__tie"], largest, cfg.rows_per_task)
+        affected, ["__dt", "__file_name"], ["__first_value", "__tie"], largest, cfg.rows_per_task,
+        written=True)
     return indexed.filter(F.col("__rejected"))
 
 
