@@ -44,13 +44,19 @@ fixed AS (
     SELECT raw.*,
            TRY_STRPTIME(dttm_raw, '%d.%m.%Y %H:%M:%S') AS parsed,
            abs(date_diff('day', CAST(parsed AS DATE), DATE '2024-01-15')) > 7 AS far,
+           CASE WHEN dttm_raw IS NULL OR far THEN 'TypeError'
+                WHEN parsed IS NULL THEN 'ValueError' END AS error_class,
+           CASE WHEN dttm_raw IS NULL THEN 'strptime() argument 1 must be str, not None'
+                WHEN parsed IS NULL THEN 'time data ''' || dttm_raw
+                    || ''' does not match format ''%d.%m.%Y %H:%M:%S'''
+                WHEN far THEN 'Range between 2024-01-15 and ' || strftime(parsed, '%Y-%m-%d %H:%M:%S')
+                    || ' is greater than 1 week' END AS error_value,
            CASE WHEN NOT far THEN TIMESTAMP '2024-01-15 00:00:00'
                 + to_hours(least(hour(parsed), 20)) + to_minutes(minute(parsed))
                 + to_seconds(second(parsed)) END AS fixed_dttm
     FROM raw
 )"""
 
-BAD_FORMAT = "does not match format ''%d.%m.%Y %H:%M:%S'''"
 AS_OF = "TIMESTAMP '2024-02-01 12:30:15'"
 AS_OF_DAY = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -149,14 +155,7 @@ ORACLE = {
     "parse_dttm": f"WITH {STAGED} SELECT receipt_no, dttm FROM staged",
     "parse_fix_date": f"""
         WITH {RAW}, {FIXED}
-        SELECT receipt_no, fixed_dttm AS dttm,
-               CASE WHEN dttm_raw IS NULL OR far THEN 'TypeError'
-                    WHEN parsed IS NULL THEN 'ValueError' END AS error_class,
-               CASE WHEN dttm_raw IS NULL THEN 'strptime() argument 1 must be str, not None'
-                    WHEN parsed IS NULL THEN 'time data ''' || dttm_raw || ''' {BAD_FORMAT}
-                    WHEN far THEN 'Range between 2024-01-15 and ' || strftime(parsed, '%Y-%m-%d %H:%M:%S')
-                        || ' is greater than 1 week' END AS error_value
-        FROM fixed""",
+        SELECT receipt_no, fixed_dttm AS dttm, error_class, error_value FROM fixed""",
     "parse_errors": f"WITH {STAGED} SELECT receipt_no, error_class, error_value FROM staged",
     "parse_by_python": f"WITH {STAGED} SELECT receipt_no, dttm, error_class FROM staged",
     "row_index_per_file": ROW_INDEX,
@@ -168,6 +167,13 @@ ORACLE = {
         mapped AS (SELECT fixed.*, object_id AS shop_id FROM fixed JOIN mapping ON shop_num = code)
         """ + receipts("mapped", "fixed_dttm", "DATE '2024-01-15'", "fixed_dttm IS NOT NULL"),
     "receipts_errors": f"WITH {STAGED} {ERRORS}",
+    "receipts_errors_fixed_date": f"""
+        WITH {RAW}, {MAPPING}, {FIXED},
+        staged AS (
+            SELECT fixed.*, object_id AS shop_id, fixed_dttm AS dttm,
+                   row_number() OVER (PARTITION BY file_name ORDER BY receipt_no) AS row_index
+            FROM fixed LEFT JOIN mapping ON shop_num = code
+        ) {ERRORS}""",
     "shop_ids": f"WITH {STAGED} SELECT shop_id FROM staged WHERE shop_id IS NOT NULL",
     "stage_counts": f"""
         WITH {STAGED}

@@ -226,6 +226,10 @@ def receipts_errors(spark, sf_dir):
     return staging.errors(_stage(spark, sf_dir), inputs.config())
 
 
+def receipts_errors_fixed_date(spark, sf_dir):
+    return staging.errors(_fix_stage(spark, sf_dir), inputs.config(fix_date=True))
+
+
 def shop_ids(spark, sf_dir):
     return staging.shop_ids(_stage(spark, sf_dir))
 
@@ -357,6 +361,7 @@ QUERIES = {
     "receipts_valid": receipts_valid,
     "receipts_valid_fixed_date": receipts_valid_fixed_date,
     "receipts_errors": receipts_errors,
+    "receipts_errors_fixed_date": receipts_errors_fixed_date,
     "shop_ids": shop_ids,
     "stage_counts": stage_counts,
     "conform_receipt": conform_receipt,
