@@ -38,8 +38,11 @@ DEFAULTS = {"Y": "1900", "m": "1", "d": "1", "H": "0", "M": "0", "S": "0", "f":
 # Fixed value: two-digit years from here on belong to the 1900s.
 CENTURY_PIVOT = 69
 
-_FLAGS = "(?siU)"
+# Fixed value: what Python takes for white space.
+SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
 _TOKEN = re.compile(r"%(?P<directive>.)|(?P<space>\s+)|(?P<text>[^%\s]+)", re.DOTALL)
+_GROUP = re.compile(r"\(\?<(\w)>")
 
 
 @dataclass(frozen=True)
@@ -49,24 +52,37 @@ class FormatPattern:
     ``whole`` captures the directives, and the first surplus character as ``x``; of a text that does not
     fit it captures nothing. The texts built from it put ``x`` in two places, of which each is
     invalid for a cast where the other may pass (blanks within a year, anything else before its sign).
+    Groups go by number, which is faster per row than by name.
     """
 
-    prefix: str
+    named_prefix: str
     directives: str
 
+    @property
+    def prefix(self) -> str:
+        return _GROUP.sub("(", self.named_prefix)
+
+    @property
+    def _named_whole(self) -> str:
+        return self.named_prefix.replace(r"\A", r"\A(?:", 1) + r"(?:\z|(?<x>.).*)|.*)\z"
+
     @property
     def whole(self) -> str:
-        return self.prefix.replace(r"\A", r"\A(?:", 1) + r"(?:\z|(?<x>.).*)|.*)\z"
+        return _GROUP.sub("(", self._named_whole)
+
+    def group(self, name: str) -> str:
+        return f"${_GROUP.findall(self._named_whole).index(name) + 1}"
 
     def _shown(self, directive: str) -> str:
         if directive not in self.directives:
             return DEFAULTS[directive]
-        return "${d}${e}" if directive == "d" else f"${{{directive}}}"
+        return self.group("d") + self.group("e") if directive == "d" else self.group(directive)
 
     @property
     def date_text(self) -> str:
-        year = "20${y}" if "y" in self.directives else self._shown("Y")
-        return f"${{x}}+{year}${{x}}-{self._shown('m')}-{self._shown('d')}"
+        year = "20" + self.group("y") if "y" in self.directives else self._shown("Y")
+        surplus = self.group("x")
+        return f"{surplus}+{year}{surplus}-{self._shown('m')}-{self._shown('d')}"
 
     @property
     def time_text(self) -> str:
@@ -90,13 +106,15 @@ def format_pattern(fmt: str) -> FormatPattern | None:
             directives += directive
             regex += DIRECTIVES[directive]
         elif token["space"]:
-            regex += r"[\s\x1c-\x1f]+"
+            regex += SPACES
         else:
             regex += r"\Q" + token["text"] + r"\E"
     # A text without captures must not pass as a time, which it could if only a fraction were missing.
     if directives in ("", "f") or "\\E" in fmt or ("Y" in directives and "y" in directives):
         return None
-    return FormatPattern(rf"{_FLAGS}\A{regex}", directives)
+    # Letters in the format match in either case; without any, the plain comparison is faster.
+    flags = "(?siu)" if any(char.isalpha() for char in re.sub("%.", "", fmt)) else "(?s)"
+    return FormatPattern(rf"{flags}\A{regex}", directives)
 
 
 def python_repr(value: Column) -> Column:
@@ -130,7 +148,7 @@ def _with_pattern(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern
 
     unmatched = F.concat(F.lit("time data "), python_repr(value), F.lit(f" does not match format {fmt!r}"))
     rest = F.regexp_replace(value, pattern.prefix, "")
-    year_text = F.regexp_replace(value, pattern.whole, "${Y}") if "Y" in pattern.directives else F.lit("1")
+    year_text = F.regexp_replace(value, pattern.whole, pattern.group("Y")) if "Y" in pattern.directives else F.lit("1")
     error = (
         F.when(F.col("__wall").isNotNull(), None)
         .when(value.isNull(), "strptime() argument 1 must be str, not None")
