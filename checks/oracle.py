@@ -72,14 +72,18 @@ def info(code: str) -> str:
 CODE = "receipt_no || event_type"
 
 
-def receipts(source: str, dttm: str, dt: str, where: str, version: str = "0", added: str = AS_OF) -> str:
+def receipts(source: str, dttm: str, dt: str, where: str, added: str = AS_OF, shop: str = "shop_id") -> str:
     return f"""
         SELECT {CODE} AS code, {dttm} AS dttm, {added} AS dttm_added, {added} AS dttm_modified,
-               {version} AS version, shop_id, {dt} AS dt, 'delivery' AS data_type, {info(CODE)} AS info
+               0 AS version, {shop} AS shop_id, {dt} AS dt, 'delivery' AS data_type, {info(CODE)} AS info
         FROM {source} WHERE {where}"""
 
 
-VALID = f"WITH {STAGED} " + receipts("staged", "dttm", "dt", "shop_id IS NOT NULL AND dttm IS NOT NULL")
+IS_VALID = "shop_id IS NOT NULL AND dttm IS NOT NULL"
+VALID = f"WITH {STAGED} " + receipts("staged", "dttm", "dt", IS_VALID)
+# The declared table holds shop ids as 32-bit numbers.
+DECLARED_SHOP = "CAST(shop_id AS INTEGER)"
+IMPORTED = f"WITH {STAGED} " + receipts("staged", "dttm", "dt", IS_VALID, shop=DECLARED_SHOP)
 
 ERRORS = """
     SELECT 'can''t map shop_id for shop_num=''' || coalesce(shop_num, 'None') || '''' AS Error
@@ -183,7 +187,7 @@ ORACLE = {
                count(*) FILTER (shop_id IS NOT NULL) AS mapped_rows
         FROM staged GROUP BY dt""",
     "conform_receipt": f"WITH {STAGED} " + receipts(
-        "staged", "dttm", "dt", "shop_id IS NOT NULL AND dttm IS NOT NULL", added=AS_OF_DAY),
+        "staged", "dttm", "dt", IS_VALID, added=AS_OF_DAY, shop=DECLARED_SHOP),
     "parquet_overwrite_roundtrip":
         "SELECT o_orderkey, o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders",
     "history_overwrite_day": f"""
@@ -193,13 +197,14 @@ ORACLE = {
     "jdbc_append_roundtrip": """
         SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer
         UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer""",
-    "jdbc_append_skip": VALID,
-    "import_receipts": VALID,
+    "jdbc_append_skip": IMPORTED,
+    "import_receipts": IMPORTED,
     "forecast_records": """
-        SELECT event_id, ts AS dttm, user_id AS shop_id, event_type FROM events ORDER BY event_id LIMIT 10""",
+        SELECT event_id, ts AS dttm, CAST(user_id AS INTEGER) AS shop_id, event_type
+        FROM events ORDER BY event_id LIMIT 10""",
     "forecast_records_import": f"""
         SELECT CAST(event_id AS VARCHAR) AS code, ts AS dttm, {AS_OF_DAY} AS dttm_added,
-               {AS_OF_DAY} AS dttm_modified, 0 AS version, user_id AS shop_id, CAST(ts AS DATE) AS dt,
+               {AS_OF_DAY} AS dttm_modified, 0 AS version, CAST(user_id AS INTEGER) AS shop_id, CAST(ts AS DATE) AS dt,
                CAST(NULL AS VARCHAR) AS data_type, CAST(NULL AS VARCHAR) AS info
         FROM events""",
     "preview_table": """

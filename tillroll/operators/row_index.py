@@ -32,7 +32,8 @@ def with_row_index(
     if largest is None:
         largest = df.groupBy(*keys).count().agg(F.max("count").alias("rows")).first()["rows"] or 0
     if largest <= rows_per_task:
-        return df.withColumn("__index", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("__index", number.cast("long"))
     return _sorted_across_tasks(df if written else materialise(df), list(keys), list(order))
 
 

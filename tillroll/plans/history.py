@@ -56,14 +56,15 @@ def history_extract(
     ``layout="daily"`` writes ``{system}_{type}_{yyyymmdd}_transformed.parquet`` and so on, one dataset
     per day and output.
 
-    The staged rows are written once, so the raw files are read and parsed a single time and the three
-    outputs agree even if a raw file changes meanwhile.
+    The mapping and the staged rows are written once, so the database is asked and the raw files are
+    read and parsed a single time, and the three outputs agree even if either changes meanwhile.
     """
     if layout not in ("partitioned", "daily"):
         raise ValueError(f"unknown layout {layout!r}")
     days = dates_in_range(cfg.dt_from, cfg.dt_to)
     folder = working_folder(spark)
     try:
+        mapping = materialise(mapping, f"{folder}/mapping")
         raw = read_job_files(spark, raw_base, mapping, cfg, missing)
         staged = materialise(stage(raw, mapping, cfg), f"{folder}/staged", partition_by="__dt")
         found = {row["dt"]: DayCounts(**row.asDict()) for row in counts(staged).collect()}  # one per day
