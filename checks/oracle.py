@@ -124,6 +124,35 @@ HISTORY = f"""
     UNION ALL
     SELECT 'shop_ids', CAST(shop_id AS VARCHAR) FROM staged WHERE shop_id IS NOT NULL"""
 
+
+
+def murmur3(text: str, seed: str) -> str:
+    """The public MurmurHash3 (32 bits) of an ASCII text, in Spark's form: the bytes after the last
+    whole word are mixed in one by one, and a null leaves the seed as it is."""
+
+    def times(value: str, factor: int) -> str:
+        return f"(({value}) * {factor}::UBIGINT % 4294967296)"
+
+    def rotated(value: str, bits: int) -> str:
+        return f"((({value}) * {1 << bits} % 4294967296) + (({value}) // {1 << (32 - bits)}))"
+
+    def byte(position: str) -> str:
+        return f"unicode(substr({text}, {position}, 1))::UBIGINT"
+
+    words = " + ".join(f"{byte(f'4 * i + {n + 1}')} * {256 ** n}" for n in range(4))
+    pieces = (
+        f"list_transform(range(0, length({text}) // 4), lambda i: {words})"
+        f" || list_transform(range(length({text}) // 4 * 4, length({text})), lambda i: {byte('i + 1')})")
+    mixed = f"list_transform({pieces}, lambda k: {times(rotated(times('k', 0xCC9E2D51), 15), 0x1B873593)})"
+    step = f"({times(rotated('xor(h, k)', 13), 5)} + {0xE6546B64}) % 4294967296"
+    state = f"list_reduce(list_prepend(({seed})::UBIGINT, {mixed}), lambda h, k: {step})"
+    state = f"xor({state}, length({text})::UBIGINT)"
+    for factor, shift in ((0x85EBCA6B, 16), (0xC2B2AE35, 13), (1, 16)):
+        # each round is a list of one, so that its value is worked out once
+        state = f"list_transform([{state}], lambda h: {times(f'xor(h, h // {1 << shift})', factor)})[1]"
+    return f"CASE WHEN {text} IS NULL THEN ({seed})::UBIGINT ELSE {state} END"
+
+
 ORACLE = {
     "rows_per_planned_file": f"""
         WITH {RAW}, {DAYS}
@@ -156,6 +185,16 @@ ORACLE = {
     "receipt_code_concat": f"""
         WITH {RAW}
         SELECT receipt_no, concat_ws('', receipt_no, dttm_raw) AS receipt_code FROM raw""",
+    "receipt_code_hash": f"""
+        WITH {RAW},
+        one AS (SELECT *, {murmur3("receipt_no", "42")} AS h1 FROM raw),
+        two AS (SELECT *, {murmur3("shop_num", "h1")} AS h2 FROM one),
+        three AS (SELECT *, {murmur3("dttm_raw", "h2")} AS h3 FROM two),
+        four AS (SELECT *, {murmur3("event_type", "h3")} AS h4 FROM three)
+        SELECT receipt_no,
+               CAST(CASE WHEN h4 >= 2147483648 THEN h4::BIGINT - 4294967296 ELSE h4::BIGINT END AS INTEGER)
+                   AS receipt_code
+        FROM four""",
     "parse_dttm": f"WITH {STAGED} SELECT receipt_no, dttm FROM staged",
     "parse_fix_date": f"""
         WITH {RAW}, {FIXED}

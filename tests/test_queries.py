@@ -10,13 +10,12 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, name):
     found = compare(spark, SF, name)
-    assert found.startswith("same") or (name == "receipt_code_hash" and found.startswith("rows only")), found
+    assert found.startswith("same"), found
 
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
 
-def test_every_query_but_the_hash_has_sql():
-    assert __spark_entry__.queries().keys() - __spark_entry__.oracle_sql().keys() == {"receipt_code_hash"}
-    assert not __spark_entry__.oracle_sql().keys() - __spark_entry__.queries().keys()
+def test_every_query_has_sql():
+    assert __spark_entry__.queries().keys() == __spark_entry__.oracle_sql().keys()
