@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from checks.inputs import database as local_database
 from tillroll.operators.schema import RECEIPT, RECEIPT_COLUMNS, SCHEMAS, conform, descriptions, with_defaults
 from tillroll.plans.imports import import_receipts, import_records
-from tillroll.sinks.tables import append_table, without_existing
+from tillroll.sinks.tables import RECEIPT_KEY, _within_times, append_table, without_existing
 from tillroll.sources.records import read_records
 from tillroll.sources.tables import Database, Split, preview_table, read_table
 
@@ -48,6 +48,9 @@ def test_preview(spark, database, table):
     append_table(spark.range(9).toDF("n"), database, table)
     assert rows(preview_table(spark, database, table, order_by="n")) == [(0,), (1,), (2,)]
     assert preview_table(spark, database, table, rows=5).count() == 5
+    odd = "t" + uuid.uuid4().hex
+    append_table(spark.range(2).toDF('a"b'), database, odd)
+    assert rows(preview_table(spark, database, odd, 1, order_by='a"b')) == [(0,)]
 
 
 def test_append_doubles_and_skip_does_not(spark, database, table):
@@ -65,6 +68,18 @@ def test_append_doubles_and_skip_does_not(spark, database, table):
         append_table(first, database, table, on_existing="replace")
 
 
+def test_skip_asks_the_database_for_the_times_at_hand_only(spark, database, table):
+    schema = "shop_id int, code string, dttm timestamp, data_type string"
+    append_table(
+        spark.createDataFrame([(1, "a", datetime(2024, 1, day), "t") for day in range(1, 9)], schema), database, table)
+    df = spark.createDataFrame([(1, "a", datetime(2024, 1, day), "t") for day in (3, 4)], schema)
+    existing = _within_times(read_table(spark, database, table), df, RECEIPT_KEY)
+    assert existing.count() == 2
+    assert "PushedFilters: [*Or(And(" in existing._jdf.queryExecution().executedPlan().toString()
+    assert _within_times(existing, df.limit(0), RECEIPT_KEY).count() == 0
+    assert _within_times(existing, df, ["code"]).count() == 2
+
+
 @pytest.mark.parametrize("max_bytes", [0, 1 << 20])
 def test_without_existing(spark, max_bytes):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "a"), (2, "a"), (None, None)], "k int, c string")

@@ -19,17 +19,22 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def join_lookup(
-    rows: DataFrame, lookup: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_BYTES
+    rows: DataFrame,
+    lookup: DataFrame,
+    on,
+    how: str = "inner",
+    max_bytes: int = BROADCAST_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` with ``lookup``; a condition names its columns by text, not by frame.
 
-    A small lookup is broadcast and ``rows`` stay where they are. A larger one is joined by a shuffle;
+    A small lookup (measured here unless ``size`` is given) is broadcast and ``rows`` stay where they are. A larger one is joined by a shuffle;
     adaptive execution then splits the partitions of keys that hold much of ``rows``. It does so only
     where the join reads both shuffles directly, hence the lookup is written first: otherwise a grouping
     or window within it could take the place of its shuffle.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} cannot split a hot key of the left side")
-    if measured_bytes(lookup) <= max_bytes:
+    if (measured_bytes(lookup) if size is None else size) <= max_bytes:
         return rows.join(F.broadcast(lookup), on, how)
     return rows.join(materialise(lookup).hint("merge"), on, how)

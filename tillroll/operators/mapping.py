@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.receipts import quoted
-from tillroll.operators.lookup import BROADCAST_BYTES, join_lookup
+from tillroll.operators.lookup import BROADCAST_BYTES, join_lookup, measured_bytes
 
 
 def shop_mapping(
@@ -43,15 +43,14 @@ def map_shops(
     for a row without match), so that input rows can still be told apart and counted.
     """
     same_code = Window.partitionBy("__code")
-    lookup = mapping.select(F.col("code").alias("__code"), F.col("object_id").alias("__shop_id")).filter(
-        F.col("__code").isNotNull()
-    )
-    lookup = lookup.withColumns({
+    codes = mapping.filter(F.col("code").isNotNull()).select(
+        F.col("code").alias("__code"), F.col("object_id").alias("__shop_id"))
+    lookup = codes.withColumns({
         "__copy": F.row_number().over(same_code.orderBy("__shop_id")),
         "__copies": F.count(F.lit(1)).over(same_code),
     })
-    mapped = join_lookup(
-        rows, lookup, quoted(shop_num) == F.col("__code"), "left", max_bytes)
+    size = 2 * measured_bytes(codes)  # with room for the two numbers
+    mapped = join_lookup(rows, lookup, quoted(shop_num) == F.col("__code"), "left", max_bytes, size)
     return mapped.drop("__code").withColumns({
         "__copy": F.coalesce("__copy", F.lit(1)),
         "__copies": F.coalesce("__copies", F.lit(1)),
