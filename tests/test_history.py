@@ -107,3 +107,22 @@ def test_staging_folder_is_removed(spark, raw, tmp_path, mapping):
     from pathlib import Path
     history_extract(spark, str(raw), str(tmp_path / "out"), mapping, config())
     assert not [path for path in Path(shared).glob("tillroll-*/staged")]
+
+
+def test_columns_of_awkward_names(spark, tmp_path, mapping):
+    (tmp_path / "d1.csv").write_text("1;10;01.01.2024 10:00;x\n2;10;bad;y\n")
+    cfg = config(
+        columns=["a b", "c;d,e", "f.g=h", "ключ"], shop_num_column_name="c;d,e", dt_or_dttm_column_name="f.g=h",
+        receipt_code_columns=["a b", "ключ"], filename_fmt="d{day}.csv", dt_to="2024-01-01")
+    target = str(tmp_path / "out")
+    assert history_extract(spark, str(tmp_path), target, mapping, cfg) == [DayCounts(date(2024, 1, 1), 2, 1, 1, 2)]
+    assert rows(read_output(spark, target, cfg, "transformed"), "code", "info") == [
+        ("1x", '{"a b":"1","c;d,e":"10","f.g=h":"01.01.2024 10:00","ключ":"x","receipt_code":"1x"}')]
+
+
+def test_hash_codes_by_default(spark, raw, tmp_path, mapping):
+    cfg = config(receipt_code_columns=None, dt_to="2024-01-01")
+    target = str(tmp_path / "out")
+    history_extract(spark, str(raw), target, mapping, cfg)
+    receipt = read_output(spark, target, cfg, "transformed").first()
+    assert isinstance(receipt["code"], int) and f'"receipt_code":{receipt["code"]}' in receipt["info"]
