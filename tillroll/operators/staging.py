@@ -74,9 +74,12 @@ def valid(staged: DataFrame, cfg: ReceiptConfig, as_of: datetime | None = None)
     )
 
 
-def errors(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
-    """One ``Error`` per failed check; a row without shop and without time gives two."""
-    return daily_errors(staged, cfg).select("Error")
+def errors(staged: DataFrame, cfg: ReceiptConfig, written: bool = False) -> DataFrame:
+    """One ``Error`` per failed check; a row without shop and without time gives two.
+
+    ``written`` says that ``staged`` reads a table and may be read again at little cost.
+    """
+    return daily_errors(staged, cfg, written).select("Error")
 
 
 def shop_ids(staged: DataFrame) -> DataFrame:
@@ -100,11 +103,11 @@ def daily_shop_ids(staged: DataFrame) -> DataFrame:
         F.col("__dt").alias("dt"), F.col("__shop_id").alias("shop_id"))
 
 
-def daily_errors(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
+def daily_errors(staged: DataFrame, cfg: ReceiptConfig, written: bool = False) -> DataFrame:
     unmapped = staged.filter(F.col("__shop_id").isNull()).select(
         F.col("__dt").alias("dt"), shop_error(quoted(cfg.shop_num_column_name)).alias("Error"))
     undated = (
-        indexed_rejects(staged, cfg)
+        indexed_rejects(staged, cfg, written)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
         .select(
             F.col("__dt").alias("dt"),
@@ -115,18 +118,20 @@ def daily_errors(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
     return unmapped.unionByName(undated)
 
 
-def indexed_rejects(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
+def indexed_rejects(staged: DataFrame, cfg: ReceiptConfig, written: bool = False) -> DataFrame:
     """The rows whose time failed, with ``__index`` counted over all rows of their file.
 
     Rows are numbered by the first raw column. Ties, which may be numbered in any order, are settled
     by a hash of the other columns, so that 8 bytes per row are sorted instead of the whole row.
-    These few columns are written once and read for all else. Only files with a failed time are sorted.
+    Unless ``staged`` is ``written``, these few columns are, once. Only files with a failed time are sorted.
     """
     first, *others = cfg.columns
     tie = F.xxhash64(*[quoted(name) for name in others]) if others else F.lit(0).cast("long")
-    rows = materialise(staged.filter(F.col("__copy") == 1).select(
+    rows = staged.filter(F.col("__copy") == 1).select(
         "__dt", "__file_name", quoted(first).alias("__first_value"), tie.alias("__tie"), "__copies",
-        (~F.col("__dated")).alias("__rejected"), "__error_class", "__error_value"))
+        (~F.col("__dated")).alias("__rejected"), "__error_class", "__error_value")
+    if not written:
+        rows = materialise(rows)
     sizes = materialise(
         rows.groupBy("__dt", "__file_name")
         .agg(F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__rejected")).alias("__rejects"))
@@ -136,8 +141,7 @@ def indexed_rejects(staged: DataFrame, cfg: ReceiptConfig) -> DataFrame:
     affected = join_lookup(
         rows, sizes.select("__dt", "__file_name"), ["__dt", "__file_name"], "left_semi", cfg.broadcast_bytes)
     indexed = with_row_index(
-        affected, ["__dt", "__file_name"], ["__first_value", "__tie"], largest, cfg.rows_per_task,
-        written=True)
+        affected, ["__dt", "__file_name"], ["__first_value", "__tie"], largest, cfg.rows_per_task)
     return indexed.filter(F.col("__rejected"))
 
 

@@ -70,7 +70,7 @@ def history_extract(
         found = {row["dt"]: DayCounts(**row.asDict()) for row in counts(staged).collect()}  # one per day
         outputs = {
             "transformed": valid(staged, cfg, as_of),
-            "errors": daily_errors(staged, cfg),
+            "errors": daily_errors(staged, cfg, written=True),
             "shop_ids": daily_shop_ids(staged),
         }
         result = [found.get(day, DayCounts(day)) for day in days]
