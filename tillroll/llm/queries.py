@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from tillroll.llm.mixing import OP7_SQL, op7_mixing
 from tillroll.llm.fingerprints import op4_fingerprints
+from tillroll.llm.neardup import op2_near_duplicates
 from tillroll.llm.packing import op3_packing
 from tillroll.llm.quality import op5_quality
+from tillroll.llm.secrets import op9_secrets
 from tillroll.llm.sharding import op1_sharding
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality": op5_quality,
     "op7_mixing": op7_mixing,
+    "op9_secrets": op9_secrets,
 }
 ORACLE = {"op7_mixing": OP7_SQL}
