@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillroll.llm.html import op10_html
 from tillroll.llm.mixing import OP7_SQL, op7_mixing
 from tillroll.llm.fingerprints import op4_fingerprints
 from tillroll.llm.neardup import op2_near_duplicates
@@ -18,5 +19,6 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op7_mixing": op7_mixing,
     "op9_secrets": op9_secrets,
+    "op10_html": op10_html,
 }
 ORACLE = {"op7_mixing": OP7_SQL}

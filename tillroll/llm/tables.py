@@ -10,6 +10,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.scratch import working_folder
+
 # What separates words in the contracts of the queries (a space, and \x09 to \x0D).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared working folder, closely compressed as it holds texts."""
+    path = working_folder(df.sparkSession) + "/table"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def share_code(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, as they may start anywhere."""
     name, context = "tillroll-code.zip", spark.sparkContext
