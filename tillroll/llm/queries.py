@@ -10,6 +10,7 @@ from tillroll.llm.packing import op3_packing
 from tillroll.llm.quality import op5_quality
 from tillroll.llm.secrets import op9_secrets
 from tillroll.llm.sharding import op1_sharding
+from tillroll.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_sharding": op1_sharding,
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
     "op9_secrets": op9_secrets,
     "op10_html": op10_html,
