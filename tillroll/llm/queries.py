@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillroll.llm.html import op10_html
+from tillroll.llm.language import op8_language
 from tillroll.llm.mixing import OP7_SQL, op7_mixing
 from tillroll.llm.fingerprints import op4_fingerprints
 from tillroll.llm.neardup import op2_near_duplicates
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
+    "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_html": op10_html,
 }
