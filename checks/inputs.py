@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -76,8 +77,10 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shop_mapping(*mapping_tables(spark, sf_dir), "ASIA")
 
 
-def raw_files(spark: SparkSession, sf_dir: str, per_shop: bool = False) -> str:
-    """The raw rows as ``;`` CSV: a folder of part files per day, or per day and shop; returns the base.
+def raw_files(spark: SparkSession, sf_dir: str, per_shop: bool = False, sep: str = ";", adjacent: bool = False) -> str:
+    """The raw rows as CSV: a folder of part files per day, or per day and shop; returns the base.
+
+    With ``adjacent`` a folder is named by the shop's number and, right after it, the day of the month.
 
     The rows are written as they lie, so a large day is spread over many part files. Event types stand
     for the shops of per-shop files.
@@ -87,15 +90,23 @@ def raw_files(spark: SparkSession, sf_dir: str, per_shop: bool = False) -> str:
     folders = ["day"]
     if per_shop:
         rows, folders = rows.withColumn("shop", F.col("event_type")), ["day", "shop"]
+    if adjacent:
+        name = F.concat(adjacent_shop(F.col("event_type")), F.dayofmonth("__dt").cast("string"))
+        rows, folders = rows.withColumn("name", name), ["name"]
     (
         rows.drop("__dt", "__file_name")
         .withColumn("surplus", F.lit("x"))
         .write.partitionBy(*folders)
-        .csv(base, sep=";")
+        .csv(base, sep=sep)
     )
     return base
 
 
+def adjacent_shop(event_type):
+    """Shops 1 and 11 and so on, so that names of a shop and a day overlap."""
+    return F.when(event_type == "error", "x").when(event_type == "click", "1").when(event_type == "view", "11").otherwise("2")
+
+
 def database(spark: SparkSession) -> Database:
     """The database of ``spark.tillroll.jdbc.url``.
 
@@ -111,5 +122,17 @@ def database(spark: SparkSession) -> Database:
     return Database("jdbc:derby:memory:tillroll;create=true")
 
 
-def new_table(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex}"
+def new_table(spark: SparkSession, prefix: str) -> str:
+    """A new name; the table is dropped when the application ends, as queries read it until then."""
+    name, target = f"{prefix}_{uuid.uuid4().hex}", database(spark)
+
+    def drop() -> None:
+        try:
+            connection = spark._jvm.java.sql.DriverManager.getConnection(target.url)
+            connection.createStatement().executeUpdate(f"DROP TABLE {name}")
+            connection.close()
+        except Exception:  # the session, and with it an in-memory database, may be gone already
+            return
+
+    atexit.register(drop)
+    return name

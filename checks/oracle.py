@@ -153,6 +153,41 @@ def murmur3(text: str, seed: str) -> str:
     return f"CASE WHEN {text} IS NULL THEN ({seed})::UBIGINT ELSE {state} END"
 
 
+def tie_key(*columns: str) -> str:
+    """What parts rows of equal first column: a hash that marks nulls and lengths in bytes."""
+    values = [f"coalesce(octet_length(encode({name})) || ':' || {name}, '-')" for name in columns]
+    return f"md5({' || '.join(values)})"
+
+
+ERRORS_TIES = f"""
+    WITH {STAGED},
+    tied AS (
+        SELECT * EXCLUDE (row_index), row_number() OVER (
+            PARTITION BY dt, file_name
+            ORDER BY event_type NULLS FIRST, {tie_key("receipt_no", "shop_num", "dttm_raw")}) AS row_index
+        FROM staged)
+    {ERRORS.replace("FROM staged", "FROM tied")}"""
+
+FAN_OUT = f"""
+    WITH {STAGED},
+    twice AS (
+        SELECT staged.* EXCLUDE (shop_id), shop_id + extra AS shop_id
+        FROM staged, (SELECT unnest([0, 5000]) AS extra) WHERE shop_id IS NOT NULL OR extra = 0),
+    found AS (
+        SELECT 'valid' AS output, {CODE} || '|' || shop_id AS content
+        FROM twice WHERE shop_id IS NOT NULL AND dttm IS NOT NULL
+        UNION ALL SELECT 'errors', Error FROM ({ERRORS.replace("FROM staged", "FROM twice")}) AS e
+        UNION ALL
+        SELECT 'counts', strftime(dt, '%Y-%m-%d') || '|' || count(DISTINCT receipt_no) || '|'
+            || (count(*) FILTER (shop_id IS NULL) + count(*) FILTER (dttm IS NULL)) || '|'
+            || count(*) FILTER (shop_id IS NOT NULL AND dttm IS NOT NULL) || '|'
+            || count(*) FILTER (shop_id IS NOT NULL)
+        FROM twice GROUP BY dt)
+    SELECT output, content FROM found"""
+
+ADJACENT_SHOP = """CASE event_type WHEN 'error' THEN 'x' WHEN 'click' THEN '1' WHEN 'view' THEN '11' ELSE '2' END"""
+
+
 ORACLE = {
     "rows_per_planned_file": f"""
         WITH {RAW}, {DAYS}
@@ -176,12 +211,24 @@ ORACLE = {
         SELECT receipt_no, shop_num, dttm_raw, event_type, dt,
                {DAY_FOLDER} || '/shop=' || event_type AS file_name
         FROM raw WHERE event_type <> 'error'""",
+    "csv_shop_scan_adjacent": f"""
+        WITH {RAW}, {DAYS},
+        named AS (SELECT *, 'name=' || {ADJACENT_SHOP} || day(dt) AS name FROM raw),
+        plan AS (SELECT DISTINCT days.dt AS planned, 'name=' || shop || day(days.dt) AS name
+                 FROM days, (SELECT DISTINCT {ADJACENT_SHOP} AS shop FROM raw) AS shops WHERE shop <> 'x')
+        SELECT receipt_no, shop_num, dttm_raw, event_type, planned AS dt, named.name AS file_name
+        FROM named JOIN plan ON plan.name = named.name""",
     "csv_options_scan": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders",
     "positional_rename": f"WITH {RAW} SELECT receipt_no, shop_num, dttm_raw, event_type FROM raw",
     "jdbc_scan_partitioned": "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer",
     "shop_mapping": f"WITH {MAPPING} SELECT code, object_id FROM mapping",
     "stage_mapped": STAGE_MAPPED,
     "stage_mapped_shuffled": STAGE_MAPPED,
+    "stage_mapped_fan_out": FAN_OUT,
+    "stage_mapped_numeric_code": f"""
+        WITH {RAW}, {MAPPING},
+        marked AS (SELECT receipt_no, shop_num || CASE event_type WHEN 'error' THEN 'x' ELSE '' END AS shop_num FROM raw)
+        SELECT receipt_no, shop_num, object_id AS shop_id FROM marked LEFT JOIN mapping ON shop_num = code""",
     "receipt_code_concat": f"""
         WITH {RAW}
         SELECT receipt_no, concat_ws('', receipt_no, dttm_raw) AS receipt_code FROM raw""",
@@ -217,6 +264,8 @@ ORACLE = {
                    row_number() OVER (PARTITION BY file_name ORDER BY receipt_no) AS row_index
             FROM fixed LEFT JOIN mapping ON shop_num = code
         ) {ERRORS}""",
+    "receipts_errors_ties": ERRORS_TIES,
+    "receipts_errors_ties_split": ERRORS_TIES,
     "shop_ids": f"WITH {STAGED} SELECT shop_id FROM staged WHERE shop_id IS NOT NULL",
     "stage_counts": f"""
         WITH {STAGED}
@@ -250,4 +299,8 @@ ORACLE = {
         SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 3""",
     "history_extract": HISTORY,
     "history_extract_daily": HISTORY,
+    "history_extract_comma": HISTORY,
+    "history_extract_no_valid": f"""
+        WITH {STAGED.replace("LEFT JOIN mapping ON shop_num = code", "LEFT JOIN mapping ON false")}
+        {ERRORS.replace("|| file_name ||", f"|| {DAY_FOLDER} ||")}""",
 }

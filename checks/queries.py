@@ -91,6 +91,14 @@ def csv_shop_scan(spark, sf_dir):
     return _day_scan(spark, base, SHOP_FOLDERS, codes.filter("code <> 'error'"), missing="skip")
 
 
+def csv_shop_scan_adjacent(spark, sf_dir):
+    """Folders named by shop and day without anything between, where a name may fit two pairs of them."""
+    base = inputs.raw_files(spark, sf_dir, adjacent=True)
+    shops = inputs.table(spark, sf_dir, "events").select(inputs.adjacent_shop(F.col("event_type")).alias("shop"))
+    codes = shops.filter("shop <> 'x'").select(F.concat(F.lit("name="), "shop").alias("code"))
+    return _day_scan(spark, base, "{shop_code}{day}", codes, missing="skip")
+
+
 def csv_options_scan(spark, sf_dir):
     path = working_folder(spark) + "/orders"
     orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
@@ -123,7 +131,7 @@ def forecast_records_all(spark, sf_dir):
         F.to_date("ts").alias("dt"))
     path = working_folder(spark) + "/records"
     records.write.parquet(path)
-    database, name = inputs.database(spark), inputs.new_table("forecast_receipt")
+    database, name = inputs.database(spark), inputs.new_table(spark, "forecast_receipt")
     import_records(read_records(spark, path, "parquet"), database, name, AS_OF)
     return _receipts(read_table(spark, database, name))
 
@@ -146,6 +154,36 @@ def stage_mapped_shuffled(spark, sf_dir):
     return mapped.select("receipt_no", "shop_num", F.col("__shop_id").alias("shop_id"))
 
 
+def _fan_out(spark, sf_dir):
+    """Each code for two object types, so that each mapped row comes out twice."""
+    systems, types, codes = inputs.mapping_tables(spark, sf_dir)
+    other = codes.withColumns({
+        "object_type_id": (F.col("object_type_id") + 1) % 25, "object_id": F.col("object_id") + 5000})
+    mapping = inputs.shop_mapping(systems, types, codes.unionByName(other), "ASIA")
+    return staging.stage(inputs.raw_rows(spark, sf_dir), mapping, inputs.config())
+
+
+def stage_mapped_fan_out(spark, sf_dir):
+    """Receipts and errors as text, and the counts per day, of a mapping with two shops per code."""
+    staged = materialise(_fan_out(spark, sf_dir))
+    text = lambda *columns: F.concat_ws("|", *[F.col(name).cast("string") for name in columns])
+    found = {
+        "valid": staging.valid(staged, inputs.config(), AS_OF).select(text("code", "shop_id").alias("content")),
+        "errors": staging.errors(staged, inputs.config(), written=True).select(F.col("Error").alias("content")),
+        "counts": staging.counts(staged).select(
+            text("dt", "raw_rows", "error_rows", "valid_rows", "mapped_rows").alias("content"))}
+    parts = [df.select(F.lit(name).alias("output"), "content") for name, df in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def stage_mapped_numeric_code(spark, sf_dir):
+    """A mapping whose codes are numbers, and shop numbers of which every third is none."""
+    mapping = inputs.mapping(spark, sf_dir).withColumn("code", F.col("code").cast("int"))
+    shop = F.when(F.col("event_type") == "error", F.concat("shop_num", F.lit("x"))).otherwise(F.col("shop_num"))
+    mapped = map_shops(inputs.raw_rows(spark, sf_dir).withColumn("shop_num", shop), mapping, "shop_num")
+    return mapped.select("receipt_no", "shop_num", F.col("__shop_id").alias("shop_id"))
+
+
 # expressions
 
 def receipt_code_concat(spark, sf_dir):
@@ -230,6 +268,13 @@ def receipts_errors_fixed_date(spark, sf_dir):
     return staging.errors(_fix_stage(spark, sf_dir), inputs.config(fix_date=True))
 
 
+def receipts_errors_ties(spark, sf_dir, **changes):
+    """Rows numbered by a column of few values, so that nearly all of them tie."""
+    columns = ["event_type", "receipt_no", "shop_num", "dttm_raw"]
+    cfg = inputs.config(columns=columns, **changes)
+    return staging.errors(_stage(spark, sf_dir, columns=columns), cfg)
+
+
 def shop_ids(spark, sf_dir):
     return staging.shop_ids(_stage(spark, sf_dir))
 
@@ -273,7 +318,7 @@ def _customer(spark, sf_dir):
 
 
 def _customer_table(spark, sf_dir, times=1):
-    database, name = inputs.database(spark), inputs.new_table("customer")
+    database, name = inputs.database(spark), inputs.new_table(spark, "customer")
     for _ in range(times):
         append_table(_customer(spark, sf_dir), database, name)
     return database, name
@@ -293,7 +338,7 @@ def jdbc_append_skip(spark, sf_dir):
     """Half of the days imported, then all of them with rows already present left out."""
     path = working_folder(spark) + "/receipts.parquet"
     overwrite_days(staging.valid(_stage(spark, sf_dir), inputs.config(), AS_OF), path)
-    database, name = inputs.database(spark), inputs.new_table("forecast_receipt")
+    database, name = inputs.database(spark), inputs.new_table(spark, "forecast_receipt")
     half = schema.conform(read_dataset(spark, path).filter("dt <= date'2024-01-15'"))
     append_table(half, database, name)
     import_receipts(spark, path, database, name, on_existing="skip", schema=schema.RECEIPT)
@@ -303,13 +348,13 @@ def jdbc_append_skip(spark, sf_dir):
 def import_receipts_query(spark, sf_dir):
     path = working_folder(spark) + "/receipts.parquet"
     overwrite_dataset(staging.valid(_stage(spark, sf_dir), inputs.config(), AS_OF), path)
-    database, name = inputs.database(spark), inputs.new_table("forecast_receipt")
+    database, name = inputs.database(spark), inputs.new_table(spark, "forecast_receipt")
     import_receipts(spark, path, database, name, schema=schema.RECEIPT)
     return _receipts(read_table(spark, database, name))
 
 
 def preview(spark, sf_dir):
-    database, name = inputs.database(spark), inputs.new_table("orders")
+    database, name = inputs.database(spark), inputs.new_table(spark, "orders")
     append_table(
         inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), database, name)
     return preview_table(spark, database, name, 3, order_by="o_orderkey")
@@ -317,10 +362,11 @@ def preview(spark, sf_dir):
 
 # the whole job
 
-def history(spark, sf_dir, layout="partitioned"):
+def history(spark, sf_dir, layout="partitioned", sep=None, base=None):
     """Raw CSV of all days to the three outputs, read back as rows of text."""
-    base, target = inputs.raw_files(spark, sf_dir), working_folder(spark)
-    cfg = inputs.config(filename_fmt=DAILY_FOLDERS)
+    base = base or inputs.raw_files(spark, sf_dir, sep=sep or ";")
+    target = working_folder(spark)
+    cfg = inputs.config(filename_fmt=DAILY_FOLDERS, csv_options={} if sep is None else {"sep": sep})
     history_extract(spark, base, target, inputs.mapping(spark, sf_dir), cfg, AS_OF, layout=layout)
     if layout == "daily":
         read = {name: spark.read.parquet(f"{target}/ASIA_delivery_*_{name}.parquet") for name in
@@ -338,17 +384,34 @@ def history(spark, sf_dir, layout="partitioned"):
     )
 
 
+def history_no_valid(spark, sf_dir):
+    """A system without codes: every row is an error, and importing its receipts appends none."""
+    base, target = inputs.raw_files(spark, sf_dir), working_folder(spark)
+    cfg = inputs.config(filename_fmt=DAILY_FOLDERS, system_code="NONE")
+    none = inputs.shop_mapping(*inputs.mapping_tables(spark, sf_dir), "NONE")
+    history_extract(spark, base, target, none, cfg, AS_OF)
+    import_receipts(spark, f"{target}/NONE_delivery_transformed.parquet", inputs.database(spark), "never.made")
+    receipts, shops = (read_output(spark, target, cfg, name) for name in ("transformed", "shop_ids"))
+    return (
+        read_output(spark, target, cfg, "errors").select("Error")
+        .unionByName(receipts.select(F.col("code").alias("Error")))
+        .unionByName(shops.select(F.col("shop_id").cast("string").alias("Error"))))
+
+
 QUERIES = {
     "rows_per_planned_file": rows_per_planned_file,
     "rows_per_shop_file": rows_per_shop_file,
     "csv_day_scan": csv_day_scan,
     "csv_shop_scan": csv_shop_scan,
+    "csv_shop_scan_adjacent": csv_shop_scan_adjacent,
     "csv_options_scan": csv_options_scan,
     "positional_rename": positional_rename,
     "jdbc_scan_partitioned": jdbc_scan_partitioned,
     "shop_mapping": shop_mapping,
     "stage_mapped": stage_mapped,
     "stage_mapped_shuffled": stage_mapped_shuffled,
+    "stage_mapped_fan_out": stage_mapped_fan_out,
+    "stage_mapped_numeric_code": stage_mapped_numeric_code,
     "receipt_code_concat": receipt_code_concat,
     "receipt_code_hash": receipt_code_hash,
     "parse_dttm": parse_dttm,
@@ -362,6 +425,8 @@ QUERIES = {
     "receipts_valid_fixed_date": receipts_valid_fixed_date,
     "receipts_errors": receipts_errors,
     "receipts_errors_fixed_date": receipts_errors_fixed_date,
+    "receipts_errors_ties": receipts_errors_ties,
+    "receipts_errors_ties_split": partial(receipts_errors_ties, rows_per_task=0, broadcast_bytes=0),
     "shop_ids": shop_ids,
     "stage_counts": stage_counts,
     "conform_receipt": conform_receipt,
@@ -375,4 +440,6 @@ QUERIES = {
     "preview_table": preview,
     "history_extract": history,
     "history_extract_daily": partial(history, layout="daily"),
+    "history_extract_comma": partial(history, sep=","),
+    "history_extract_no_valid": history_no_valid,
 }

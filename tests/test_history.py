@@ -126,3 +126,46 @@ def test_hash_codes_by_default(spark, raw, tmp_path, mapping):
     history_extract(spark, str(raw), target, mapping, cfg)
     receipt = read_output(spark, target, cfg, "transformed").first()
     assert isinstance(receipt["code"], int) and f'"receipt_code":{receipt["code"]}' in receipt["info"]
+
+
+def test_no_working_table_is_left(spark, raw, tmp_path, mapping):
+    from pathlib import Path
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    history_extract(spark, str(raw), str(tmp_path / "out"), mapping, config(rows_per_task=0, broadcast_bytes=0))
+    assert set(shared.iterdir()) == before
+
+
+def test_separator_of_the_job(spark, tmp_path, mapping):
+    (tmp_path / "check_20240101.csv").write_text("1,10,01.01.2024 10:00\n")
+    cfg = config(dt_to="2024-01-01", csv_options={"sep": ","})
+    assert history_extract(spark, str(tmp_path), str(tmp_path / "out"), mapping, cfg) == [
+        DayCounts(date(2024, 1, 1), 1, 0, 1, 1)]
+
+
+@pytest.mark.parametrize("codes", [["no"], None])
+def test_outputs_without_rows_can_be_read_and_imported(spark, raw, tmp_path, codes):
+    from tillroll.plans.imports import import_receipts
+    from tillroll.sources.tables import Database
+    none = spark.createDataFrame([], "code string, object_id int")
+    cfg, target = config(receipt_code_columns=codes), str(tmp_path / "out")
+    history_extract(spark, str(raw), target, none, cfg)
+    receipts = read_output(spark, target, cfg, "transformed")
+    assert receipts.count() == 0 and receipts.schema["code"].dataType.simpleString() == ("string" if codes else "int")
+    assert read_output(spark, target, cfg, "shop_ids").columns == ["shop_id", "dt"]
+    import_receipts(spark, f"{target}/sys_check_transformed.parquet", Database("jdbc:none"))
+
+
+def test_daily_layout_takes_as_many_jobs_for_any_number_of_days(spark, tmp_path, mapping):
+    def jobs(days):
+        folder = tmp_path / f"raw{days}"
+        folder.mkdir()
+        for day in range(1, days + 1):
+            (folder / f"check_202401{day:02}.csv").write_text(f"1;10;{day:02}.01.2024 10:00\n2;20;bad\n")
+        group = f"daily-{days}"
+        spark.sparkContext.setJobGroup(group, group)
+        history_extract(spark, str(folder), str(tmp_path / f"out{days}"), mapping,
+                        config(dt_to=f"2024-01-{days:02}"), layout="daily")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    assert jobs(3) == jobs(9)

@@ -69,3 +69,23 @@ def test_hot_code_is_split_between_tasks(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_codes_of_a_mapping_are_not_shuffled(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        table = lambda *columns: spark.range(5).toDF("n").select(*[F.col("n").alias(name) for name in columns])
+        systems = table("id").withColumn("code", F.col("id").cast("string"))
+        found = shop_mapping(systems, table("id"), table("code", "object_id", "external_system_id", "object_type_id"), "1")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_numeric_codes_are_compared_as_text(spark):
+    raw = spark.createDataFrame([("7",), ("999x",), (None,)], "shop string")
+    mapping = spark.createDataFrame([(7, 70)], "code int, object_id int")
+    found = {row["shop"]: row["__shop_id"] for row in map_shops(raw, mapping, "shop").collect()}
+    assert found == {"7": 70, "999x": None, None: None}

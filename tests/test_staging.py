@@ -176,3 +176,8 @@ def test_same_outputs_by_broadcast_and_by_shuffle(spark):
 def test_column_names_must_differ():
     with pytest.raises(ValueError, match="must differ"):
         config(columns=["a", "a"])
+
+
+def test_ties_are_told_apart_by_nulls(spark):
+    rows = spark.createDataFrame([("p", None), (None, "p"), ("", "p"), ("p", ""), ("1:", "p")], "a string, b string")
+    assert rows.select(staging.tie_key(["a", "b"]).alias("k")).distinct().count() == 5

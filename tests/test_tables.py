@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from checks.inputs import database as local_database
 from tillroll.operators.schema import RECEIPT, RECEIPT_COLUMNS, SCHEMAS, conform, descriptions, with_defaults
 from tillroll.plans.imports import import_receipts, import_records
-from tillroll.sinks.tables import RECEIPT_KEY, _within_times, append_table, without_existing
+from tillroll.sinks.tables import RECEIPT_KEY, _time_bounds, _within, append_table, without_existing
 from tillroll.sources.records import read_records
 from tillroll.sources.tables import Database, Split, preview_table, read_table
 
@@ -73,11 +73,12 @@ def test_skip_asks_the_database_for_the_times_at_hand_only(spark, database, tabl
     append_table(
         spark.createDataFrame([(1, "a", datetime(2024, 1, day), "t") for day in range(1, 9)], schema), database, table)
     df = spark.createDataFrame([(1, "a", datetime(2024, 1, day), "t") for day in (3, 4)], schema)
-    existing = _within_times(read_table(spark, database, table), df, RECEIPT_KEY)
+    within = lambda df, key: _within(read_table(spark, database, table), df, *_time_bounds(df, key))
+    existing = within(df, RECEIPT_KEY)
     assert existing.count() == 2
     assert "PushedFilters: [*Or(And(" in existing._jdf.queryExecution().executedPlan().toString()
-    assert _within_times(existing, df.limit(0), RECEIPT_KEY).count() == 0
-    assert _within_times(existing, df, ["code"]).count() == 2
+    assert within(df.limit(0), RECEIPT_KEY).count() == 0
+    assert _within(existing, df, *_time_bounds(df, ["code"])).count() == 2
 
 
 @pytest.mark.parametrize("max_bytes", [0, 1 << 20])
@@ -142,3 +143,8 @@ def test_records(spark, database, table, tmp_path):
     assert {row["dttm_added"] for row in loaded.collect()} == {datetime(2024, 5, 1)}
     with pytest.raises(ValueError, match="unknown source type"):
         read_records(spark, str(path), "pickle")
+
+
+def test_reader_and_writer_get_fetch_and_batch_sizes():
+    assert Database("u").jdbc_options == {"fetchsize": "10000", "batchsize": "10000"}
+    assert Database("u", {"fetchsize": "5"}).jdbc_options["fetchsize"] == "5"

@@ -20,17 +20,15 @@ def shop_mapping(
     """``(code, object_id)`` of one external system.
 
     Content types are only checked to exist, so a code listed for several types comes out several
-    times. ``object_type`` keeps one type; ``unique`` keeps the largest id per code.
+    times. ``object_type`` keeps one type; ``unique`` keeps the largest id per code. Systems and types are
+    measured and, as they are small, broadcast, so ``codes`` is not shuffled by a handful of values.
     """
     system = systems.filter(F.col("code") == system_code).select(F.col("id").alias("external_system_id"))
     types = content_types.select(F.col("id").alias("object_type_id"))
     if object_type is not None:
         types = types.filter(F.col("object_type_id") == object_type)
-    mapping = (
-        codes.join(system, "external_system_id", "inner")
-        .join(types, "object_type_id", "inner")
-        .select("code", "object_id")
-    )
+    of_system = join_lookup(codes, system, "external_system_id")
+    mapping = join_lookup(of_system, types, "object_type_id").select("code", "object_id")
     return mapping.groupBy("code").agg(F.max("object_id").alias("object_id")) if unique else mapping
 
 
@@ -40,11 +38,11 @@ def map_shops(
     """Left-join the mapping on the shop number; every match gives a row.
 
     Adds ``__shop_id``, and ``__copy`` of ``__copies`` numbering the matches of one input row (both 1
-    for a row without match), so that input rows can still be told apart and counted.
+    for a row without match), so that input rows can still be told apart and counted. Codes are compared as text.
     """
     same_code = Window.partitionBy("__code")
     codes = mapping.filter(F.col("code").isNotNull()).select(
-        F.col("code").alias("__code"), F.col("object_id").alias("__shop_id"))
+        F.col("code").cast("string").alias("__code"), F.col("object_id").alias("__shop_id"))
     lookup = codes.withColumns({
         "__copy": F.row_number().over(same_code.orderBy("__shop_id")),
         "__copies": F.count(F.lit(1)).over(same_code),

@@ -21,19 +21,21 @@ def with_row_index(
     order: Sequence[str],
     largest: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    written: bool = False,
 ) -> DataFrame:
     """Add ``__index``, the 1-based position of the row by ``order`` among the rows of its ``keys``.
 
     Groups of up to ``rows_per_task`` rows are numbered by a window. If the largest group (counted
     here unless given) has more, all rows are sorted across tasks instead and no task holds a group.
-    They are written for that, so that they come out the same when read again.
+    They are written for that, so that they come out the same when read again, unless they are ``written``
+    already. Rows of equal keys and order are exchangeable; all others get the same numbers either way.
     """
     if largest is None:
         largest = df.groupBy(*keys).count().agg(F.max("count").alias("rows")).first()["rows"] or 0
     if largest <= rows_per_task:
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn("__index", number.cast("long"))
-    return _sorted_across_tasks(materialise(df), list(keys), list(order))
+    return _sorted_across_tasks(df if written else materialise(df), list(keys), list(order))
 
 
 def _sorted_across_tasks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

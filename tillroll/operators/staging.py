@@ -89,13 +89,13 @@ def shop_ids(staged: DataFrame) -> DataFrame:
 
 def counts(staged: DataFrame) -> DataFrame:
     """Rows read, errors, receipts and mapped rows per day, in one pass."""
-    unmapped, undated = F.col("__shop_id").isNull(), ~F.col("__dated")
-    return staged.groupBy(F.col("__dt").alias("dt")).agg(
-        F.count_if(F.col("__copy") == 1).alias("raw_rows"),
-        (F.count_if(unmapped) + F.count_if(undated)).alias("error_rows"),
-        F.count_if(_is_valid()).alias("valid_rows"),
-        F.count_if(~unmapped).alias("mapped_rows"),
-    )
+    return daily_counts(file_sizes(staged))
+
+
+def daily_counts(sizes: DataFrame) -> DataFrame:
+    return sizes.groupBy(F.col("__dt").alias("dt")).agg(
+        F.sum("__rows").alias("raw_rows"),
+        *[F.sum(name).alias(name) for name in ("error_rows", "valid_rows", "mapped_rows")])
 
 
 def daily_shop_ids(staged: DataFrame) -> DataFrame:
@@ -103,11 +103,18 @@ def daily_shop_ids(staged: DataFrame) -> DataFrame:
         F.col("__dt").alias("dt"), F.col("__shop_id").alias("shop_id"))
 
 
-def daily_errors(staged: DataFrame, cfg: ReceiptConfig, written: bool = False) -> DataFrame:
+def daily_errors(
+    staged: DataFrame, cfg: ReceiptConfig, written: bool = False, sizes: DataFrame | None = None
+) -> DataFrame:
+    """``Error`` and ``dt``. ``sizes`` (``file_sizes``, a written table) spares counting again."""
+    if not written:
+        # One pass over the source for both kinds of errors.
+        kept = ["__dt", "__file_name", "__copy", "__copies", "__dated", "__shop_id", "__error_class", "__error_value"]
+        staged, written = materialise(staged.select(*kept, *map(quoted, cfg.columns))), True
     unmapped = staged.filter(F.col("__shop_id").isNull()).select(
         F.col("__dt").alias("dt"), shop_error(quoted(cfg.shop_num_column_name)).alias("Error"))
     undated = (
-        indexed_rejects(staged, cfg, written)
+        indexed_rejects(staged, cfg, written, sizes)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
         .select(
             F.col("__dt").alias("dt"),
@@ -118,30 +125,52 @@ def daily_errors(staged: DataFrame, cfg: ReceiptConfig, written: bool = False) -
     return unmapped.unionByName(undated)
 
 
-def indexed_rejects(staged: DataFrame, cfg: ReceiptConfig, written: bool = False) -> DataFrame:
+def tie_key(columns: list[str]) -> Column:
+    """A hash of the columns that tells nulls from empty texts, and where one value ends."""
+    values = [F.when(quoted(name).isNull(), "-").otherwise(
+        F.concat(F.octet_length(quoted(name)).cast("string"), F.lit(":"), quoted(name))) for name in columns]
+    return F.unhex(F.md5(F.concat(*values, F.lit(""))))
+
+
+def file_sizes(staged: DataFrame) -> DataFrame:
+    """Per day and file: its rows, its rows whose time failed, and what ``counts`` sums up per day."""
+    unmapped, undated = F.col("__shop_id").isNull(), ~F.col("__dated")
+    once = F.col("__copy") == 1
+    return staged.groupBy("__dt", "__file_name").agg(
+        F.count_if(once).alias("__rows"), F.count_if(once & undated).alias("__rejects"),
+        (F.count_if(unmapped) + F.count_if(undated)).alias("error_rows"),
+        F.count_if(_is_valid()).alias("valid_rows"), F.count_if(~unmapped).alias("mapped_rows"))
+
+
+def indexed_rejects(
+    staged: DataFrame, cfg: ReceiptConfig, written: bool = False, sizes: DataFrame | None = None
+) -> DataFrame:
     """The rows whose time failed, with ``__index`` counted over all rows of their file.
 
-    Rows are numbered by the first raw column. Ties, which may be numbered in any order, are settled
-    by a hash of the other columns, so that 8 bytes per row are sorted instead of the whole row.
-    Unless ``staged`` is ``written``, these few columns are, once. Only files with a failed time are sorted.
+    Rows are numbered by the first raw column. Ties, which may be numbered in any order, are settled by
+    ``tie_key`` of the other columns, so that 16 bytes per row are sorted instead of the whole row, and only
+    equal rows are exchangeable. Unless ``staged`` is ``written``, these few columns are, once. Only files with
+    a failed time are sorted.
     """
     first, *others = cfg.columns
-    tie = F.xxhash64(*[quoted(name) for name in others]) if others else F.lit(0).cast("long")
+    tie = tie_key(others)
     rows = staged.filter(F.col("__copy") == 1).select(
         "__dt", "__file_name", quoted(first).alias("__first_value"), tie.alias("__tie"), "__copies",
         (~F.col("__dated")).alias("__rejected"), "__error_class", "__error_value")
     if not written:
         rows = materialise(rows)
-    sizes = materialise(
-        rows.groupBy("__dt", "__file_name")
-        .agg(F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__rejected")).alias("__rejects"))
-        .filter(F.col("__rejects") > 0)
-    )
-    largest = sizes.agg(F.max("__rows").alias("rows")).first()["rows"] or 0
+    if sizes is None:
+        sizes = materialise(rows.groupBy("__dt", "__file_name").agg(
+            F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__rejected")).alias("__rejects")))
+    files = sizes.filter(F.col("__rejects") > 0).select("__dt", "__file_name", "__rows")
+    found = files.agg(F.max("__rows").alias("rows"), F.count(F.lit(1)).alias("files")).first()
+    # About the bytes of a row of names and days; most files have names of one length.
+    size = found["files"] * 256
     affected = join_lookup(
-        rows, sizes.select("__dt", "__file_name"), ["__dt", "__file_name"], "left_semi", cfg.broadcast_bytes)
+        rows, files.select("__dt", "__file_name"), ["__dt", "__file_name"], "left_semi", cfg.broadcast_bytes, size)
     indexed = with_row_index(
-        affected, ["__dt", "__file_name"], ["__first_value", "__tie"], largest, cfg.rows_per_task)
+        affected, ["__dt", "__file_name"], ["__first_value", "__tie"], found["rows"] or 0, cfg.rows_per_task,
+        written=size <= cfg.broadcast_bytes)  # then it is a filter over a table
     return indexed.filter(F.col("__rejected"))
 
 

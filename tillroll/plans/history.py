@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.staging import (
-    ReceiptConfig, counts, daily_errors, daily_shop_ids, stage, valid)
-from tillroll.scratch import materialise, remove, working_folder
-from tillroll.sinks.datasets import overwrite_dataset, overwrite_days
+    ReceiptConfig, daily_counts, daily_errors, daily_shop_ids, file_sizes, stage, valid)
+from tillroll.scratch import is_without_files, job_folder, materialise
+from tillroll.sinks.datasets import overwrite_days, write_daily_datasets
 from tillroll.sources.files import dates_in_range, read_raw
 
 logger = logging.getLogger(__name__)
@@ -57,20 +57,21 @@ def history_extract(
     per day and output.
 
     The mapping and the staged rows are written once, so the database is asked and the raw files are
-    read and parsed a single time, and the three outputs agree even if either changes meanwhile.
+    read and parsed a single time, and the three outputs agree even if either changes meanwhile. All working
+    tables are in one folder, which goes at the end.
     """
     if layout not in ("partitioned", "daily"):
         raise ValueError(f"unknown layout {layout!r}")
     days = dates_in_range(cfg.dt_from, cfg.dt_to)
-    folder = working_folder(spark)
-    try:
+    with job_folder(spark) as folder:
         mapping = materialise(mapping, f"{folder}/mapping")
         raw = read_job_files(spark, raw_base, mapping, cfg, missing)
         staged = materialise(stage(raw, mapping, cfg), f"{folder}/staged", partition_by="__dt")
-        found = {row["dt"]: DayCounts(**row.asDict()) for row in counts(staged).collect()}  # one per day
+        sizes = materialise(file_sizes(staged))
+        found = {row["dt"]: DayCounts(**row.asDict()) for row in daily_counts(sizes).collect()}  # one per day
         outputs = {
             "transformed": valid(staged, cfg, as_of),
-            "errors": daily_errors(staged, cfg, written=True),
+            "errors": daily_errors(staged, cfg, written=True, sizes=sizes),
             "shop_ids": daily_shop_ids(staged),
         }
         result = [found.get(day, DayCounts(day)) for day in days]
@@ -80,16 +81,16 @@ def history_extract(
         write = _write_partitioned if layout == "partitioned" else _write_daily
         write(outputs, prefix, result)
         return result
-    finally:
-        remove(spark, folder)
 
 
 def read_output(spark: SparkSession, target_base: str, cfg: ReceiptConfig, output: str) -> DataFrame:
-    """One output of the partitioned layout. Only the errors can be read while there are none at all."""
+    """One output of the partitioned layout; without any row it has its columns all the same."""
     if output not in OUTPUTS:
         raise ValueError(f"unknown output {output!r}")
     path = f"{target_base.rstrip('/')}/{cfg.system_code}_{cfg.data_type}_{output}.parquet"
-    reader = spark.read.schema("Error string, dt date") if output == "errors" else spark.read
+    if is_without_files(spark, path):
+        return spark.createDataFrame([], _schema(cfg, output))
+    reader = spark.read.schema(_schema(cfg, output)) if output == "errors" else spark.read
     return reader.parquet(path).withColumn("dt", F.col("dt").cast("date"))
 
 
@@ -102,7 +103,14 @@ def _write_partitioned(outputs: dict[str, DataFrame], prefix: str, days: list[Da
 
 def _write_daily(outputs: dict[str, DataFrame], prefix: str, days: list[DayCounts]) -> None:
     for output, df in outputs.items():
-        for day in days:
-            rows = df.filter(F.col("dt") == F.lit(day.dt))
-            rows = rows if output == "transformed" else rows.drop("dt")
-            overwrite_dataset(rows, f"{prefix}_{day.dt:%Y%m%d}_{output}.parquet")
+        names = {day.dt: f"{prefix}_{day.dt:%Y%m%d}_{output}.parquet" for day in days}
+        write_daily_datasets(df if output == "transformed" else df.withColumnRenamed("dt", "__day"), names)
+
+
+def _schema(cfg: ReceiptConfig, output: str) -> str:
+    """The columns of an output. A receipt's code is a number where it is a hash."""
+    if output != "transformed":
+        return {"errors": "Error string, dt date", "shop_ids": "shop_id bigint, dt date"}[output]
+    code = "string" if cfg.receipt_code_columns else {"hash": "int", "xxhash64": "bigint"}[cfg.code_hash]
+    return (f"code {code}, dttm timestamp, dttm_added timestamp, dttm_modified timestamp, version int, "
+            "shop_id bigint, data_type string, info string, dt date")
