@@ -185,6 +185,16 @@ FAN_OUT = f"""
         FROM twice GROUP BY dt)
     SELECT output, content FROM found"""
 
+
+
+def reparsed(fmt: str, moved: str = "") -> str:
+    """Times and errors when the same times are shown by another format."""
+    return f"""
+        WITH {STAGED}
+        SELECT receipt_no, dttm {moved} AS dttm, error_class,
+               replace(error_value, '%d.%m.%Y %H:%M:%S', '{fmt}') AS error_value FROM staged"""
+
+
 ADJACENT_SHOP = """CASE event_type WHEN 'error' THEN 'x' WHEN 'click' THEN '1' WHEN 'view' THEN '11' ELSE '2' END"""
 
 
@@ -247,7 +257,9 @@ ORACLE = {
         WITH {RAW}, {FIXED}
         SELECT receipt_no, fixed_dttm AS dttm, error_class, error_value FROM fixed""",
     "parse_errors": f"WITH {STAGED} SELECT receipt_no, error_class, error_value FROM staged",
-    "parse_by_python": f"WITH {STAGED} SELECT receipt_no, dttm, error_class FROM staged",
+    "parse_weekday": reparsed("%A %d %b %Y %H:%M:%S"),
+    "parse_12_hour": reparsed("%d.%m.%Y %I:%M:%S %p"),
+    "parse_offset": reparsed("%Y %j %H:%M:%S%z", "- INTERVAL '150 minutes'"),
     "row_index_per_file": ROW_INDEX,
     "row_index_split_files": ROW_INDEX,
     "info_json": f"WITH {RAW} SELECT receipt_no, {info('receipt_no')} AS info FROM raw",

@@ -218,13 +218,28 @@ def parse_errors(spark, sf_dir):
         "receipt_no", F.col("__error_class").alias("error_class"), F.col("__error_value").alias("error_value"))
 
 
-def parse_by_python(spark, sf_dir):
-    """A format with a weekday name, which only Python's own parser reads."""
-    raw = inputs.raw_rows(spark, sf_dir).withColumn(
-        "dttm_raw", F.concat(F.date_format("__dt", "EEEE "), F.col("dttm_raw")))
-    parsed = with_dttm(raw, "dttm_raw", "%A %d.%m.%Y %H:%M:%S", "__dt")
-    return parsed.select(
-        "receipt_no", _wall("__dttm").alias("dttm"), F.col("__error_class").alias("error_class"))
+def _reparsed(spark, sf_dir, shown, fmt):
+    """The raw times written another way, and parsed by the format of that; bad and missing ones stay."""
+    raw = inputs.raw_rows(spark, sf_dir)
+    time = F.try_to_timestamp(F.col("dttm_raw"), F.lit("dd.MM.yyyy HH:mm:ss"))
+    raw = raw.withColumn("dttm_raw", F.coalesce(F.date_format(time, shown), "dttm_raw"))
+    return with_dttm(raw, "dttm_raw", fmt, "__dt").select(
+        "receipt_no", _wall("__dttm").alias("dttm"), F.col("__error_class").alias("error_class"),
+        F.col("__error_value").alias("error_value"))
+
+
+def parse_weekday(spark, sf_dir):
+    """Names of days and months."""
+    return _reparsed(spark, sf_dir, "EEEE d MMM yyyy HH:mm:ss", "%A %d %b %Y %H:%M:%S")
+
+
+def parse_12_hour(spark, sf_dir):
+    return _reparsed(spark, sf_dir, "dd.MM.yyyy hh:mm:ss a", "%d.%m.%Y %I:%M:%S %p")
+
+
+def parse_offset(spark, sf_dir):
+    """An offset, which the time is moved by."""
+    return _reparsed(spark, sf_dir, "yyyy D HH:mm:ss'+02:30'", "%Y %j %H:%M:%S%z")
 
 
 def info_json_text(spark, sf_dir):
@@ -417,7 +432,9 @@ QUERIES = {
     "parse_dttm": parse_dttm,
     "parse_fix_date": parse_fix_date,
     "parse_errors": parse_errors,
-    "parse_by_python": parse_by_python,
+    "parse_weekday": parse_weekday,
+    "parse_12_hour": parse_12_hour,
+    "parse_offset": parse_offset,
     "row_index_per_file": row_index_per_file,
     "row_index_split_files": row_index_split_files,
     "info_json": info_json_text,

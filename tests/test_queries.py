@@ -4,7 +4,6 @@ from checks.queries import QUERIES
 import pytest
 
 from checks.compare import compare
-from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 

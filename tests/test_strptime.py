@@ -11,13 +11,21 @@ warnings.simplefilter("ignore", DeprecationWarning)
 TRANSLATED = [
     "%d.%m.%Y %H:%M:%S", "%d%m%Y", "%d%m%Y%H%M%S", "%Y-%m-%dT%H:%M:%S.%f", "%y/%m/%d", "%m%d", "%H:%M",
     "%d %m %y  %H", "%Y%m%d %f", "%d%Y%m", "100%% %Y", "(%d)[%m]*$\\ %Y", "%S", "%Y-%m-%d\n%H",
+    "%d %b %Y", "%I:%M %p", "%Y-%m-%d %H:%M:%S%z", "%Y %j", "%A, %d. %B %Y %H:%M:%S.%f", "%a %d%b%y", "%p %I", "%I",
+    "%j", "%Y%j%H", "%z %d.%m.%Y", "%H %p", "%B", "%d.%m.%Y %j",
 ]
-LEFT_TO_PYTHON = ["%d %b %Y", "%I:%M %p", "%Y-%m-%d %H:%M:%S%z", "%Y %j", "%f", "%Q", "%d %", "%d %d", "no directive"]
+LEFT_TO_PYTHON = ["%f", "%Q", "%d %", "%d %d", "no directive", "%c", "%Y %U %w", "%H %I", "%b %m", "%Z"]
 FIXED = [
     None, "", "x", "0000", "31.02.2024 10:00:00", "01.01.0000 00:00:00", "1.1.2024 1:1:61",
     "31.02.2024 10:00:61", " 1.1.2024 1:1:1", "1.1.2024  1:1:1", "2024-01-01", "24:00", "29.02.2023 1:1:1",
     "001.01.2024 1:1:1", "1.1.2024 1:1:1Z", "1.1.2024 1:1:1+03:00", "1.1.2024 1:1:1 ", "110000", "10000",
     "100005", "1100001", "5 Jan 2024", "05 feb 2024", "11:30 PM", "2024-01-01 10:00:00+0300", "2024 60",
+    "12:30 am", "12:30 AM", "12:01 pm", "0:30 pm", "PM 3", "29 Feb 2023", "2023 366", "2024 366", "0000 5", "000 1", "may", "December",
+    "2024-01-01 10:00:00Z", "2024-01-01 10:00:00z", "2024-01-01 10:00:61+01:00", "2024-01-01 10:00:00-00:30",
+    "2024-01-01 10:00:00+01:0030", "2024-01-01 10:00:00+0100:30", "2024-01-01 10:00:00+01:00:30.5", "2024-01-01 10:00:00-010030",
+    "2024-01-01 10:00:00+24:00", "2024-01-01 10:00:00-9959", "2024-02-30 10:00:00+9959", "2024-01-01 10:00:00+23:59:59.999999",
+    "0000-01-01 10:00:00+0100", "2024-01-01 10:00:00+0160", "+01:30 05.06.2024", "Friday, 5. January 2024 10:11:12.5",
+    "friday, 31. FEBRUARY 2024 1:1:1.000001", "Mon 31dec99", "30.02.2024 5", "1.1.2024 366",
     "it's", 'say "no"', "it's \"no\"", "back\\slash", "tab\there", "no directive",
 ]
 ALPHABET = "0123456789.: -/T%'\"\\\n\t(+Zк "
@@ -70,3 +78,8 @@ def test_which_formats_are_translated():
 def test_column_names_with_dots_and_ticks(spark):
     df = spark.createDataFrame([("1.2.2024",)], ["a.b`c"])
     assert with_strptime(df, "a.b`c", "%d.%m.%Y").first()["__wall"] == datetime(2024, 2, 1)
+
+
+def test_no_python_for_formats_that_are_translated(spark):
+    df = with_strptime(spark.createDataFrame([("x",)], "text string"), "text", "%A %d %b %Y %I:%M %p %z")
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()

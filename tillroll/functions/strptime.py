@@ -5,7 +5,10 @@ as ``2024-1-31 9:05:00`` by one ``regexp_replace`` and casts it; both are part o
 the time is a single expression, so that a filter pushed below it does not multiply the work. Error
 texts are worked out for rejected rows only.
 
-Formats with other directives go through ``datetime.strptime`` in a pandas UDF.
+Formats with names of months or days (English ones), a 12-hour clock, a day of the year or an offset take a
+pattern too, whose parts are put together one by one. What goes by weeks or by the machine's locale and zone (``%U``
+``%W`` ``%G`` ``%V`` ``%u`` ``%w`` ``%c`` ``%x`` ``%X`` ``%Z``), and rare combinations, go through
+``datetime.strptime`` in a pandas UDF.
 
 Two points differ from Python and are accepted: digits outside ASCII are rejected, and the message for
 a value with control characters other than tab, newline and carriage return shows them unescaped.
@@ -33,6 +36,30 @@ DIRECTIVES = {
     "S": r"(?<S>6[01]|[0-5][0-9]|[0-9])",
     "f": r"(?<f>[0-9]{1,6})",
 }
+# The English names that Python's parser knows in its plain locale.
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october",
+          "november", "december"]
+WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+
+
+def _one_of(group: str, names: list[str]) -> str:
+    return f"(?<{group}>(?i:{'|'.join(sorted(names, key=len, reverse=True))}))"
+
+
+# The same for the directives whose parts are put together one by one.
+MORE_DIRECTIVES = {
+    "B": _one_of("B", MONTHS),
+    "b": _one_of("b", [name[:3] for name in MONTHS]),
+    "A": _one_of("A", WEEKDAYS),
+    "a": _one_of("a", [name[:3] for name in WEEKDAYS]),
+    "I": r"(?<I>1[0-2]|0[1-9]|[1-9])",
+    "p": _one_of("p", ["am", "pm"]),
+    "j": r"(?<j>36[0-6]|3[0-5][0-9]|[12][0-9][0-9]|0[1-9][0-9]|00[1-9]|[1-9][0-9]|0[1-9]|[1-9])",
+    "z": r"(?<z>[+-][0-9][0-9]:?[0-5][0-9](?::?[0-5][0-9](?:\.[0-9]{1,6})?)?|Z)",
+}
+# Directives of which a format may have one only, as the later would go before the earlier.
+EXCLUSIVE = ("Yy", "mBb", "HI")
+SECONDS_PER_DAY = 86_400
 # What a format without the directive stands for.
 DEFAULTS = {"Y": "1900", "m": "1", "d": "1", "H": "0", "M": "0", "S": "0", "f": "0"}
 # Fixed value: two-digit years from here on belong to the 1900s.
@@ -62,6 +89,10 @@ class FormatPattern:
     def prefix(self) -> str:
         return _GROUP.sub("(", self.named_prefix)
 
+    @property
+    def by_parts(self) -> bool:
+        return any(directive in MORE_DIRECTIVES for directive in self.directives)
+
     @property
     def _named_whole(self) -> str:
         return self.named_prefix.replace(r"\A", r"\A(?:", 1) + r"(?:\z|(?<x>.).*)|.*)\z"
@@ -101,16 +132,19 @@ def format_pattern(fmt: str) -> FormatPattern | None:
         if directive == "%":
             regex += "%"
         elif directive:
-            if directive not in DIRECTIVES or directive in directives:
+            known = {**DIRECTIVES, **MORE_DIRECTIVES}
+            if directive not in known or directive in directives:
                 return None
             directives += directive
-            regex += DIRECTIVES[directive]
+            regex += known[directive]
         elif token["space"]:
             regex += SPACES
         else:
             regex += r"\Q" + token["text"] + r"\E"
     # A text without captures must not pass as a time, which it could if only a fraction were missing.
-    if directives in ("", "f") or "\\E" in fmt or ("Y" in directives and "y" in directives):
+    if directives in ("", "f") or "\\E" in fmt:
+        return None
+    if any(sum(name in directives for name in group) > 1 for group in EXCLUSIVE):
         return None
     # Letters in the format match in either case; without any, the plain comparison is faster.
     flags = "(?siu)" if any(char.isalpha() for char in re.sub("%.", "", fmt)) else "(?s)"
@@ -135,7 +169,9 @@ def with_strptime(df: DataFrame, source: str, fmt: str) -> DataFrame:
     """
     value = F.col("`" + source.replace("`", "``") + "`")
     pattern = format_pattern(fmt)
-    return _with_python(df, value, fmt) if pattern is None else _with_pattern(df, value, fmt, pattern)
+    if pattern is None:
+        return _with_python(df, value, fmt)
+    return (_with_parts if pattern.by_parts else _with_pattern)(df, value, fmt, pattern)
 
 
 def _with_pattern(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern) -> DataFrame:
@@ -163,6 +199,84 @@ def _with_pattern(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern
         "__utc_offset": F.lit(None).cast("string"), "__error_class": kind, "__error_value": error})
 
 
+def _with_parts(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern) -> DataFrame:
+    has = lambda directive: directive in pattern.directives
+    part = lambda directive: F.regexp_replace(value, pattern.whole, pattern.group(directive))
+    number = lambda directive, default: part(directive).try_cast("int") if has(directive) else F.lit(default)
+
+    def numbered(directive: str, names: list[str]) -> Column:
+        pairs = [F.lit(x) for i, name in enumerate(names) for x in (name if directive == "B" else name[:3], i + 1)]
+        return F.element_at(F.create_map(*pairs), F.lower(part(directive)))
+
+    if has("y"):
+        two = number("y", 0)
+        year = two + F.when(two >= CENTURY_PIVOT, 1900).otherwise(2000)
+    else:
+        year = number("Y", 1900)
+    month = next((numbered(name, MONTHS) for name in "Bb" if has(name)), number("m", 1))
+    day = F.coalesce(number("d", 1), number("e", 1)) if has("d") else F.lit(1)
+    hour = number("H", 0)
+    if has("I"):
+        late = F.when(F.lower(part("p")) == "pm", 12).otherwise(0) if has("p") else F.lit(0)
+        hour = number("I", 0) % 12 + late
+    micros = F.rpad(part("f"), 6, "0").try_cast("int") if has("f") else F.lit(0)
+    second = number("S", 0)
+
+    fits, rest = value.rlike(pattern.prefix), F.regexp_replace(value, pattern.prefix, "")
+    date = F.try_make_timestamp_ntz(year, month, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    if has("j"):
+        date = F.date_add(F.try_make_timestamp_ntz(year, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date"), number("j", 1) - 1)
+    seconds = (second + micros / 1_000_000).cast("decimal(16,6)")
+    moment = F.when(second < 60, F.try_make_timestamp_ntz(
+        F.year("__date"), F.month("__date"), F.dayofmonth("__date"), hour, number("M", 0), seconds))
+
+    if has("z"):
+        z = part("z")
+        plain = F.replace(z, F.lit(":"), F.lit(""))
+        field = lambda start: F.coalesce(F.substring(plain, start, 2).try_cast("int"), F.lit(0))
+        fraction = F.coalesce(F.rpad(F.split_part(z, F.lit("."), F.lit(2)), 6, "0").try_cast("int"), F.lit(0))
+        size = (field(2) * 3600 + field(4) * 60 + field(6)).cast("long") * 1_000_000 + fraction
+        offset = F.when(z == "Z", 0).otherwise(F.when(z.startswith("-"), -size).otherwise(size)).cast("long")
+        wrong = (
+            F.when(z.rlike(r"^.\d\d:\d\d\d"), F.concat(F.lit("Inconsistent use of : in "), z))
+            .when(z.rlike(r"^.\d{4}:"), F.concat(F.lit("invalid literal for int() with base 10: '"), F.substring(z, 6, 2), F.lit("'"))))
+    else:
+        offset, wrong = F.lit(None).cast("long"), F.lit(None).cast("string")
+    day_micros = SECONDS_PER_DAY * 1_000_000
+    days, within = F.floor(F.col("__offset") / day_micros), F.pmod("__offset", F.lit(day_micros))
+    shown = F.concat_ws(
+        ", ", F.when(days != 0, F.concat(F.lit("days="), days.cast("string"))),
+        F.when(within >= 1_000_000, F.concat(F.lit("seconds="), F.floor(within / 1_000_000).cast("string"))),
+        F.when(within % 1_000_000 != 0, F.concat(F.lit("microseconds="), (within % 1_000_000).cast("string"))))
+    too_far = F.abs("__offset") >= day_micros
+
+    unmatched = F.concat(F.lit("time data "), python_repr(value), F.lit(f" does not match format {fmt!r}"))
+    error = (
+        F.when(value.isNull(), "strptime() argument 1 must be str, not None")
+        .when(~fits, unmatched)
+        .when(rest != "", F.concat(F.lit("unconverted data remains: "), rest))
+        .when(wrong.isNotNull(), wrong)
+        .when(F.lit(has("Y")) & (part("Y") == "" if has("Y") else F.lit(False)), "year 0 is out of range")
+        .when(F.col("__date").isNull(), "day is out of range for month")
+        .when(too_far, F.concat(F.lit(
+            "offset must be a timedelta strictly between -timedelta(hours=24) and timedelta(hours=24), not "
+            "datetime.timedelta("), shown, F.lit(").")))
+        .when(second >= 60, "second must be in 0..59"))
+    kind = F.when(F.col("__error_value").isNotNull(), F.when(value.isNull(), "TypeError").otherwise("ValueError"))
+    away = F.abs("__offset")
+    clock = lambda micros, unit: F.lpad((F.floor(away / micros) % unit).cast("string"), 2, "0")
+    utc_offset = F.concat(
+        F.when(F.col("__offset") < 0, "-").otherwise("+"), clock(3_600_000_000, 24), F.lit(":"), clock(60_000_000, 60),
+        F.when(away % 60_000_000 != 0, F.concat(F.lit(":"), clock(1_000_000, 60))).otherwise(""),
+        F.when(away % 1_000_000 != 0, F.concat(F.lit("."), F.lpad((away % 1_000_000).cast("string"), 6, "0"))).otherwise(""))
+    good = F.col("__error_value").isNull()
+    return (
+        df.withColumns({"__date": date, "__offset": offset})
+        .withColumn("__error_value", error)
+        .withColumns({"__wall": F.when(good, moment), "__error_class": kind, "__utc_offset": F.when(good, utc_offset)})
+        .drop("__date", "__offset"))
+
+
 def _with_python(df: DataFrame, value: Column, fmt: str) -> DataFrame:
     @F.pandas_udf("wall string, utc_offset string, error_class string, error_value string")
     def parse(values: pd.Series) -> pd.DataFrame:
