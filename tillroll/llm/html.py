@@ -144,7 +144,7 @@ def host_of(url: Column) -> Column:
 
 
 def run_hashes(tokens: list[str]) -> np.ndarray:
-    """One hash per suffix of the token stream, cut to its first ``RUN`` tokens; a shorter stream is one suffix."""
+    """One hash per suffix of a block's tokens, cut to its first ``RUN``; a shorter block is one suffix."""
     ids = np.fromiter((xxhash.xxh3_64_intdigest(token) for token in tokens), np.uint64, len(tokens))
     size = min(RUN, len(ids))
     if not size:
@@ -166,7 +166,7 @@ def _parsed(batch: dict[str, list]) -> dict[str, list]:
         out["text"].append(None if is_open else article)
         out["content"].append(int.from_bytes(blake2b(content.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True))
         out["outside"].append([{"zone": zone, "text": text} for zone, text in own] if is_open else None)
-        out["runs"].append(run_hashes([token for _, text in outside for token in text.split(" ")]))
+        out["runs"].append(np.concatenate([np.zeros(0, np.int64), *[run_hashes(text.split(" ")) for _, text in outside]]))
     return {**batch, **out, "runs": pa.array(out["runs"], pa.list_(pa.int64()))}
 
 
@@ -174,15 +174,17 @@ def _unique_runs(batch: dict[str, list]) -> dict[str, list]:
     """Drop the tokens of open blocks that a repeat covers, keep the others in their blocks."""
     texts = []
     for own, starts in zip(batch["outside"], batch["repeats"], strict=True):
-        covered, at, kept = {start + i for start in starts or () for i in range(RUN)}, 0, []
+        found, at, kept = set(starts or ()), 0, []
         for block in own:
             if block["zone"] == ARTICLE:
                 kept.append(block["text"])
                 continue
             tokens = block["text"].split(" ")
+            suffixes = max(1, len(tokens) - RUN + 1)
             if block["zone"] == OPEN:
-                kept.append(" ".join(token for i, token in enumerate(tokens, at) if i not in covered))
-            at += len(tokens)
+                covered = {start + i for start in range(suffixes) if at + start in found for i in range(RUN)}
+                kept.append(" ".join(token for i, token in enumerate(tokens) if i not in covered))
+            at += suffixes
         texts.append("\n\n".join(text for text in kept if text))
     return {**batch, "text": texts}
 
@@ -192,10 +194,10 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Elements say what is article and what is not (menus, footers, adverts, forms, comments and so on); both are taken
     at their word, so passages that articles share stay. Blocks that stand in neither are judged by the host's suffix
-    array: the tokens outside articles of each page are one stream, its suffixes are brought together by host and
-    first ``RUN`` tokens, and a group from ``DISTINCT_PAGES`` pages of different content is a repeat. A token is in a
-    repeat of any greater length just if it is in one of ``RUN``, so suffixes need no more tokens and are grouped by
-    a hash of them instead of being sorted: no task holds a host. What repeats cover goes, unique runs stay.
+    array: the suffixes of the blocks outside articles are brought together by host and first ``RUN`` tokens, and a
+    group from ``DISTINCT_PAGES`` pages of different content is a repeat (a shorter block, only whole). A token is in
+    a repeat of any greater length just if it is in one of ``RUN``, so suffixes need no more tokens and are grouped
+    by a hash of them instead of being sorted: no task holds a host. What repeats cover goes, unique runs stay.
     Pages without a host form one; copies of a page count once. Rows are handled one by one; no rows: no rows.
     """
     kind = pages.schema["page_id"].dataType.simpleString()
