@@ -347,9 +347,9 @@ def classes_by_brute_force(texts):
     return [root(i) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("pairs", [200_000, 0])
-def test_near_duplicates_against_brute_force(spark, monkeypatch, pairs):
-    monkeypatch.setattr(neardup, "ROUND_PAIRS", pairs)
+@pytest.mark.parametrize("leaders", [4, 1])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, leaders):
+    monkeypatch.setattr(neardup, "LEADERS", leaders)
     texts = near_copies(random.Random(12))
     found = {row["doc_id"]: row for row in neardup.near_duplicates(docs_of(spark, texts)).collect()}
     expected = classes_by_brute_force(texts)
