@@ -37,3 +37,23 @@ def test_repeated_line_pairs_against_brute_force(spark):
     docs = spark.createDataFrame([(i, text, "en", "s") for i, text in enumerate(texts)], SCHEMA)
     found = {row["doc_id"]: row["class_id"] for row in neardup.near_duplicates(docs).collect()}
     assert found == {i: i - i % 2 for i in range(len(texts))}
+
+
+# quality
+
+def test_every_length_has_a_real_upper_limit(spark):
+    chance = random.Random(22)
+    prose = lambda words: " ".join(chance.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(chance.randrange(90))
+                                   for _ in range(words))
+    # 40 good texts of about 2 KB, 25 of about 4 KB, 12 of about 9 KB: too few from 4 KB up.
+    texts = [prose(words) for words, n in ((290, 40), (600, 25), (1300, 12)) for _ in range(n)]
+    docs = spark.createDataFrame([(i, text, "en", "s") for i, text in enumerate(texts)], SCHEMA)
+    limits = quality.fit_limits(docs, docs.select("doc_id"))
+    assert all(limits[band][1] < 0.7 for band in range(22, 50))
+    letters = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"
+    noise = [" ".join("".join(chance.choices(letters, k=60)) for _ in range(size // 61)) for size in (4200, 9000, 20000, 70000)]
+    fine = [prose(words) for words in (600, 1300, 3000, 10000)]
+    rows = spark.createDataFrame([(i, text, "en", "s") for i, text in enumerate(noise + fine)], SCHEMA)
+    found = quality.quality_rules(rows, limits).toPandas().set_index("doc_id")
+    assert found.kept.tolist() == [False] * 4 + [True] * 4
+    assert (found.bad_chunks[:4] == 1).all()
