@@ -57,3 +57,18 @@ def test_every_length_has_a_real_upper_limit(spark):
     found = quality.quality_rules(rows, limits).toPandas().set_index("doc_id")
     assert found.kept.tolist() == [False] * 4 + [True] * 4
     assert (found.bad_chunks[:4] == 1).all()
+
+
+# secrets
+
+def test_a_secret_of_one_owner_is_live_in_any_number_of_documents(spark):
+    own, shared = "ghp_a1B2c3D4e5F6g7H8i9J0", "ghp_Zz9Yy8Xx7Ww6Vv5Uu4Tt"
+    rows = [(i, f"notes {i} {own}", "en", "hot") for i in range(40)]
+    rows += [(100 + i, f"copy {own}", "en", "hot") for i in range(40)]
+    rows += [(200 + i, f"see {shared} {i}", "en", f"o{i % 3}") for i in range(9)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = secrets.find_secrets(docs).toPandas().set_index("doc_id")
+    assert (found.n_live[found.index < 200] == 1).all() and (found.spans[found.index < 200] != "").all()
+    assert (found.n_examples[found.index >= 200] == 1).all() and (found.spans[found.index >= 200] == "").all()
+    texts = {row["doc_id"]: row["text"] for row in secrets.redact(docs).collect()}
+    assert not any(own in text for text in texts.values()) and all(shared in texts[200 + i] for i in range(9))

@@ -36,7 +36,6 @@ WIDER_SIGNS = (b"-----BEGIN", b"eyJ", b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_
 KINDS = [kind for kind, *_ in BASE] + [kind for kind, *_ in WIDER]
 
 MOST_OWNERS = 2      # a credential of more owners is a copied example
-MOST_REPOSITORIES = 20
 LEAST_ENTROPY = 3.0  # bits per character of one that looks live
 
 CANDIDATE = "array<struct<kind: string, start: long, end: long, hash: string, lively: boolean>>"
@@ -99,34 +98,31 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, owners, repositories) over ``found`` (repository, owner, base, wider), a row per credential.
+    """(hash, owners) over ``found`` (owner, base, wider), a row per credential.
 
     Pairs are made distinct before they are counted, so no task gathers the copies of a common credential.
     """
-    every = found.select("repository", "owner", F.explode(F.concat("base", "wider")).alias("c")).select(
-        F.col("c.hash").alias("hash"), F.struct("repository").alias("repository"), F.struct("owner").alias("owner"))
-    owners = every.select("hash", "owner").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
-    repositories = every.select("hash", "repository").distinct().groupBy("hash").agg(
-        F.count(F.lit(1)).alias("repositories"))
-    return owners.join(repositories, "hash")
+    every = found.select("owner", F.explode(F.concat("base", "wider")).alias("c")).select(
+        F.col("c.hash").alias("hash"), F.struct("owner").alias("owner"))
+    return every.distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
 
 
-def find_secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
-    """Secrets in each row of ``docs`` (doc_id, text, and the columns that name repository and owner).
+def find_secrets(docs: DataFrame, owner: str = "source") -> DataFrame:
+    """Secrets in each row of ``docs`` (doc_id, text, and the column that names the owner).
 
     Gives doc_id, row_key, n_assign, n_access, n_hex, base_sha256, n_live, n_examples, spans (text) and places (array).
     ``spans`` holds all base findings, and of the wider ones those whose credential looks live: enough entropy,
-    and in the whole corpus at most ``MOST_OWNERS`` owners and ``MOST_REPOSITORIES`` repositories. A null owner
-    or repository counts as one. Equal rows get equal results. No rows: no rows.
+    and in the whole corpus at most ``MOST_OWNERS`` owners. How many documents of these hold it does not count: an
+    owner's secret stays one, however often it is copied. A null owner counts as one. Equal rows get equal results.
+    No rows: no rows.
     """
     prepared = docs.select(
-        "doc_id", F.col(repository).alias("repository"), F.col(owner).alias("owner"),
-        row_key().alias("row_key"), "text")
+        "doc_id", F.col(owner).alias("owner"), row_key().alias("row_key"), "text")
     found = materialise(scan(prepared).withColumn("row", F.monotonically_increasing_id()))
     verdicts = materialise(ownership(found))
     each = found.filter(F.size("base") + F.size("wider") > 0).select(
         "row", F.posexplode(F.concat("base", "wider")).alias("position", "c"), F.size("base").alias("bases"))
-    live = (F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES) & F.col("c.lively")
+    live = (F.col("owners") <= MOST_OWNERS) & F.col("c.lively")
     judged = each.withColumn("hash", F.col("c.hash")).join(verdicts.hint("merge"), "hash").select(
         "row", live.alias("live"), (F.col("position") < F.col("bases")).alias("is_base"), "c")
     by_row = judged.groupBy("row").agg(
@@ -147,12 +143,12 @@ def row_key() -> Column:
     return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("\u0000")), F.xxhash64("text").cast("string")))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", repository: str = "doc_id", owner: str = "source") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source") -> DataFrame:
     """``docs`` with every span of ``find_secrets`` replaced by ``mark`` and ``n_chars`` to match.
 
     All rows stay. Overlapping spans are replaced as one.
     """
-    places = find_secrets(docs, repository, owner).filter(F.size("places") > 0).select(
+    places = find_secrets(docs, owner).filter(F.size("places") > 0).select(
         F.col("row_key").alias("__row"), F.col("places").alias("__places")).dropDuplicates(["__row"])
     joined = docs.withColumn("__row", row_key()).join(materialise(places).hint("merge"), "__row", "left")
     hit = F.col("__places").isNotNull()
