@@ -72,3 +72,17 @@ def test_a_secret_of_one_owner_is_live_in_any_number_of_documents(spark):
     assert (found.n_examples[found.index >= 200] == 1).all() and (found.spans[found.index >= 200] == "").all()
     texts = {row["doc_id"]: row["text"] for row in secrets.redact(docs).collect()}
     assert not any(own in text for text in texts.values()) and all(shared in texts[200 + i] for i in range(9))
+
+
+# pages
+
+@pytest.mark.parametrize(("page", "expected"), [
+    ('<p>a <svg viewBox="0 0 1 1"/> b</p><p>c</p>', ["a b", "c"]),
+    ('<p>a <svg><path d="x"/><text>x</text></svg> b</p><p>c</p>', ["a b", "c"]),
+    ('<math/>a<iframe src="x" />b<object data="y"/>c<canvas/>d', ["abcd"]),
+    ("<div>a <select><option>1<option>2</div><p>c", ["a", "c"]),
+    ("<div>a<object data=x><p>y</div><p>c</p>", ["a", "c"]),
+    ("a<noscript><div>no</div></noscript>b<template><p>t</p></template>c<title>x</title>d<script>'</p>'</script>e", ["abcde"])])
+def test_embedded_elements_take_no_text_of_the_page(page, expected):
+    assert html.blocks(f"<article>{page}</article>") == [(html.ARTICLE, text) for text in expected]
+    assert language.page_text(f"<article>{page}</article>") == " ".join(expected)

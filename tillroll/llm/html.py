@@ -23,7 +23,8 @@ ARTICLE, OPEN, CHROME, SUNK = 2, 1, 0, -1
 
 # HTML's elements and the names that web authors give to what is not main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math canvas select".split())
+RAW = frozenset("script style textarea title".split())  # text up to the end tag
+EMBEDDED = frozenset("noscript template iframe object svg math canvas select".split())  # elements without text of the page
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table "
@@ -79,11 +80,13 @@ def blocks(page: str) -> list[tuple[int, str]]:
     """(zone, text) of the blocks of a page, in page order.
 
     Markup may be broken or cut off. Character references are decoded, white space within a block becomes one
-    space, and empty blocks are left out. A cell of a table and a line break part words, not blocks.
+    space, and empty blocks are left out. A cell of a table and a line break part words, not blocks. Embedded elements
+    are left out without parting blocks; without an end tag they reach to that of an element around them.
     """
     found: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []
     zone, at, buffer = OPEN, 0, []
+    embedded = None  # place in the stack of the embedded element that all is in
 
     def flush() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(buffer))).strip()
@@ -93,10 +96,10 @@ def blocks(page: str) -> list[tuple[int, str]]:
 
     while at < len(page):
         match = _TAG.search(page, at)
+        if embedded is None:
+            buffer.append(page[at:match.start() if match else len(page)])
         if match is None:
-            buffer.append(page[at:])
             break
-        buffer.append(page[at:match.start()])
         at = match.end()
         tag = match[2] or match[5]
         if tag is None:
@@ -106,6 +109,23 @@ def blocks(page: str) -> list[tuple[int, str]]:
             end = _RAW_ENDS[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
+        depth = None
+        if closing:
+            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+        if embedded is not None:
+            if not closing and tag not in VOID and not _is_empty(match):
+                stack.append((tag, zone))
+            elif depth is not None and depth >= embedded:
+                del stack[depth:]
+                embedded = embedded if depth > embedded else None
+            if depth is None or depth >= len(stack):
+                continue
+            embedded = None
+        elif tag in EMBEDDED and not closing:
+            if not _is_empty(match):
+                embedded = len(stack)
+                stack.append((tag, zone))
+            continue
         if tag in CELLS:
             buffer.append(" ")
         elif tag in BLOCKS:
@@ -113,7 +133,6 @@ def blocks(page: str) -> list[tuple[int, str]]:
         if tag in VOID:
             continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is None:
                 continue
             if any(before != zone for _, before in stack[depth:]):
@@ -138,6 +157,11 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return found
 
 
+def _is_empty(match: re.Match) -> bool:
+    """Whether a tag ends in ``/>``."""
+    return (match[3] or match[6] or "").rstrip().endswith("/")
+
+
 def host_of(url: Column) -> Column:
     """The host of an address, lower case; empty if there is none."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
