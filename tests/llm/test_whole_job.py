@@ -86,3 +86,18 @@ def test_a_secret_of_one_owner_is_live_in_any_number_of_documents(spark):
 def test_embedded_elements_take_no_text_of_the_page(page, expected):
     assert html.blocks(f"<article>{page}</article>") == [(html.ARTICLE, text) for text in expected]
     assert language.page_text(f"<article>{page}</article>") == " ".join(expected)
+
+
+# language
+
+def test_rare_languages_are_learnt(spark):
+    rows = [(i, f"the thing with edward {i}", "en", "hot") for i in range(600)]
+    rows += [(1000 + i, f"ξψω ξψ ωω ψψξ {i}", "xx", "s") for i in range(3)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = language.train(docs, rows=50)
+    assert model.languages == ("en", "xx")
+    found = language.document_languages(docs.filter("doc_id >= 1000"), model).toPandas()
+    assert found.text_language.tolist() == ["xx"] * 3 and found.language.tolist() == ["xx"] * 3
+    assert language.keep_identified(docs, model).filter("lang = 'xx'").count() == 3
+    many = spark.createDataFrame([(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)} " * 5, f"l{i:03}", "s") for i in range(260)], SCHEMA)
+    assert len(language.train(many, rows=100).languages) == 260

@@ -14,9 +14,9 @@ from tillroll.llm.tables import map_batches, table, written
 from tillroll.operators.lookup import join_lookup
 from tillroll.scratch import materialise
 
-SAMPLE_ROWS = 8_000       # labelled documents that the text model is trained on, at most
+SAMPLE_ROWS = 8_000       # labelled documents that the text model is trained on, shared out evenly among the languages
+LEAST_ROWS = 40           # of each language, as far as there are
 BUCKETS = 1 << 14         # hashed trigrams of characters
-MOST_LANGUAGES = 200
 UNKNOWN = "und"
 
 EVIDENCE_CHARS = 200      # a text of any length counts as so many independent trigrams at most
@@ -50,13 +50,21 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 def train(docs: DataFrame, label: str = "lang", rows: int = SAMPLE_ROWS) -> TextModel:
-    """A text model from up to ``rows`` documents (doc_id, text, ``label``), chosen by a hash of the id.
+    """A text model from about ``rows`` documents (doc_id, text, ``label``), chosen by a hash of the id.
 
-    Counts are summed in Spark; the driver gets at most ``BUCKETS`` numbers for each language.
+    Languages are counted over all documents. Each has an even share of ``rows``, ``LEAST_ROWS`` at least: one with
+    fewer documents learns from all of them. Counts are summed in Spark; the driver gets one row and at most
+    ``BUCKETS`` numbers for each language.
     """
-    known = docs.filter(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", F.col(label).alias("label"))
+    known = docs.filter(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(
+        "doc_id", "text", F.col(label).alias("label"))
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
+    share = max(LEAST_ROWS, rows // max(len(sizes), 1))
+    # No row of a language that has its share or less is left out; the others are thinned by the hash.
+    shares = docs.sparkSession.createDataFrame(
+        [(row["label"], min(1.0, share / row["n"])) for row in sizes], known.select("label").schema.add("share", "double"))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < F.col("share") * (1 << 32)
+    sample = known.join(F.broadcast(shares), "label").filter(drawn).select("text", "label")
 
     def counted(batch: dict[str, list]) -> dict[str, list]:
         counts: dict[str, np.ndarray] = {}
@@ -68,8 +76,7 @@ def train(docs: DataFrame, label: str = "lang", rows: int = SAMPLE_ROWS) -> Text
     summed = map_batches(sample, counted, "label string, counts array<long>").select(
         "label", F.posexplode("counts").alias("bucket", "n")).filter("n > 0").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     found = summed.toPandas()
-    totals = found.groupby("label").n.sum().sort_values(ascending=False, kind="stable")
-    languages = tuple(sorted(totals.index[:MOST_LANGUAGES]))
+    languages = tuple(sorted(found.label.unique()))  # those with a letter
     logs = np.full((BUCKETS, len(languages)), 0.1)
     for column, language in enumerate(languages):
         own = found[found.label == language]
