@@ -101,3 +101,21 @@ def test_rare_languages_are_learnt(spark):
     assert language.keep_identified(docs, model).filter("lang = 'xx'").count() == 3
     many = spark.createDataFrame([(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)} " * 5, f"l{i:03}", "s") for i in range(260)], SCHEMA)
     assert len(language.train(many, rows=100).languages) == 260
+
+
+def test_frames_within_articles_go(spark):
+    notice, strip = "subscribe to our letter and never miss a story again", "tell your friends on all the networks you may use"
+    long = "and then it goes on at some length about what happened there, which no other page of the host does, "
+    rows = [(i, f"http://h.example/{i}", f"<main><p>{notice}</p><h1>title {i}</h1><p>{long} {'abcdefgh'[i]} {long} {i}</p><h2>Notes</h2>"
+             f"<div>{strip}</div><p>note {i}, {long} {i * 7}</p><p>Share</p></main>") for i in range(6)]
+    # One page has an open block too; variants of one article, and a passage that some articles share, stay.
+    rows[5] = (*rows[5][:2], rows[5][2] + "<p>left over five</p>")
+    rows += [(10 + i, "http://v.example/", f"<article><p>{long}</p><p>{strip}</p><p>version {i}</p></article>") for i in range(4)]
+    rows += [(20 + i, "http://s.example/", f"<article><p>{long} {i}</p>{f'<p>{notice}</p>' if i < 4 else ''}</article>") for i in range(9)]
+    found = {row["page_id"]: row["text"] for row in html.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    plain = lambda page: "\n\n".join(text for _, text in html.blocks(page))
+    for i in range(6):
+        expected = [text for _, text in html.blocks(rows[i][2]) if text not in (notice, strip, "Share")]
+        assert found[i] == "\n\n".join(expected) and "Notes" in found[i]
+    assert all(found[i] == plain(page) for i, _, page in rows[6:])

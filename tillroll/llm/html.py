@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.fingerprints import mixed
 from tillroll.llm.tables import map_batches, table, written
+from tillroll.operators.lookup import join_lookup
 
 RUN = 8             # tokens of the shortest repeat
 DISTINCT_PAGES = 3  # pages of different content that a repeat must be found on
+FRAME_SHARE = 0.5   # share of a host's different articles beyond which a whole block of theirs is a frame
 
 # An article lifts what is around it, but not out of what is sunk, such as a comment or a sidebar.
 ARTICLE, OPEN, CHROME, SUNK = 2, 1, 0, -1
@@ -180,7 +182,7 @@ def run_hashes(tokens: list[str]) -> np.ndarray:
 
 
 def _parsed(batch: dict[str, list]) -> dict[str, list]:
-    out = {"text": [], "content": [], "outside": [], "runs": []}
+    out = {"text": [], "content": [], "outside": [], "runs": [], "articles": []}
     for page in batch["html"]:
         own = blocks(page or "")
         article = "\n\n".join(text for zone, text in own if zone == ARTICLE)
@@ -191,17 +193,46 @@ def _parsed(batch: dict[str, list]) -> dict[str, list]:
         out["content"].append(int.from_bytes(blake2b(content.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True))
         out["outside"].append([{"zone": zone, "text": text} for zone, text in own] if is_open else None)
         out["runs"].append(np.concatenate([np.zeros(0, np.int64), *[run_hashes(text.split(" ")) for _, text in outside]]))
+        out["articles"].append([_block_hash(text) for zone, text in own if zone == ARTICLE])
     return {**batch, **out, "runs": pa.array(out["runs"], pa.list_(pa.int64()))}
 
 
+def _block_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def frame_of(texts: list[str], repeats: list[int] | None) -> set[int]:
+    """Which blocks of an article are its frame, of those at the places ``repeats``, which its host repeats.
+
+    Between blocks that stay, one of fewer than ``RUN`` tokens stays too, as it may be a heading. Where repeats hold
+    half of the text or more, the page is a variant of others instead of framed, and all stays.
+    """
+    places = set(repeats or ())
+    if not places or 2 * sum(len(texts[i]) for i in places) >= sum(map(len, texts)):
+        return set()
+    own = [i for i in range(len(texts)) if i not in places]
+    return {i for i in places if not own[0] < i < own[-1] or len(texts[i].split(" ")) >= RUN}
+
+
+def _unframed(batch: dict[str, list]) -> dict[str, list]:
+    texts = []
+    for text, repeats in zip(batch["text"], batch["frame"], strict=True):
+        own = text.split("\n\n")
+        gone = frame_of(own, repeats)
+        texts.append("\n\n".join(one for i, one in enumerate(own) if i not in gone))
+    return {**batch, "text": texts}
+
+
 def _unique_runs(batch: dict[str, list]) -> dict[str, list]:
-    """Drop the tokens of open blocks that a repeat covers, keep the others in their blocks."""
+    """Drop frames of articles and the tokens of open blocks that a repeat covers, keep the others in their blocks."""
     texts = []
-    for own, starts in zip(batch["outside"], batch["repeats"], strict=True):
+    for own, starts, frame in zip(batch["outside"], batch["repeats"], batch["frame"], strict=True):
         found, at, kept = set(starts or ()), 0, []
-        for block in own:
+        places = [i for i, block in enumerate(own) if block["zone"] == ARTICLE]
+        gone = {places[i] for i in frame_of([own[i]["text"] for i in places], frame)}
+        for i, block in enumerate(own):
             if block["zone"] == ARTICLE:
-                kept.append(block["text"])
+                kept.append("" if i in gone else block["text"])
                 continue
             tokens = block["text"].split(" ")
             suffixes = max(1, len(tokens) - RUN + 1)
@@ -216,8 +247,9 @@ def _unique_runs(batch: dict[str, list]) -> dict[str, list]:
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of ``pages`` (page_id, url, html); null html is empty.
 
-    Elements say what is article and what is not (menus, footers, adverts, forms, comments and so on); both are taken
-    at their word, so passages that articles share stay. Blocks that stand in neither are judged by the host's suffix
+    Elements say what is article and what is not (menus, footers, adverts, forms, comments and so on). Of articles, whole
+    blocks go that more than ``FRAME_SHARE`` of the host's different articles hold, see ``frame_of``; other passages that
+    articles share stay. Blocks that stand in neither are judged by the host's suffix
     array: the suffixes of the blocks outside articles are brought together by host and first ``RUN`` tokens, and a
     group from ``DISTINCT_PAGES`` pages of different content is a repeat (a shorter block, only whole). A token is in
     a repeat of any greater length just if it is in one of ``RUN``, so suffixes need no more tokens and are grouped
@@ -228,22 +260,38 @@ def main_text(pages: DataFrame) -> DataFrame:
     prepared = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     parsed = written(map_batches(prepared, _parsed, (
         f"page_id {kind}, url string, host string, text string, content long, "
-        "outside array<struct<zone: int, text: string>>, runs array<long>"
+        "outside array<struct<zone: int, text: string>>, runs array<long>, articles array<long>"
     )).withColumn("row", F.monotonically_increasing_id()))
     repeats = written(
         parsed.select("host", "content", F.explode("runs").alias("run")).distinct()
         .groupBy("host", "run").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= DISTINCT_PAGES)
         .select("host", "run"))
+    frames = _frames(parsed)
     open_pages = parsed.filter("outside is not null")
     hits = (
         open_pages.select("row", "host", F.posexplode("runs").alias("at", "run"))
         .join(repeats.hint("merge"), ["host", "run"])
         .groupBy("row").agg(F.collect_list("at").alias("repeats")))
     judged = map_batches(
-        open_pages.select("row", "page_id", "url", "outside").join(hits, "row", "left").drop("row"), _unique_runs,
+        join_lookup(open_pages.select("row", "page_id", "url", "outside"), frames, "row", "left").join(
+            hits, "row", "left").drop("row"), _unique_runs,
         f"page_id {kind}, url string, text string")
-    settled = parsed.filter("outside is null").select("page_id", "url", "text")
-    return settled.unionByName(judged).withColumn("n_chars", F.length("text").cast("long"))
+    settled = join_lookup(
+        parsed.filter("outside is null").select("row", "page_id", "url", "text"), frames, "row", "left").drop("row")
+    framed = map_batches(settled.filter("frame is not null"), _unframed, f"page_id {kind}, url string, text string")
+    return settled.filter("frame is null").drop("frame").unionByName(framed).unionByName(judged).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _frames(parsed: DataFrame) -> DataFrame:
+    """(row, frame): places of the article blocks that most different articles of the page's host hold, a written table."""
+    placed = parsed.select("row", "host", "content", F.posexplode("articles").alias("at", "block"))
+    pages = parsed.filter(F.size("articles") > 0).select("host", "content").distinct().groupBy("host").agg(
+        F.count(F.lit(1)).alias("of"))
+    counted = placed.select("host", "content", "block").distinct().groupBy("host", "block").agg(
+        F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= DISTINCT_PAGES)
+    common = join_lookup(counted, written(pages), "host").filter(F.col("pages") > FRAME_SHARE * F.col("of")).select("host", "block")
+    return written(placed.join(written(common).hint("merge"), ["host", "block"]).groupBy("row").agg(
+        F.collect_list("at").alias("frame")))
 
 
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
