@@ -119,3 +119,14 @@ def test_frames_within_articles_go(spark):
         expected = [text for _, text in html.blocks(rows[i][2]) if text not in (notice, strip, "Share")]
         assert found[i] == "\n\n".join(expected) and "Notes" in found[i]
     assert all(found[i] == plain(page) for i, _, page in rows[6:])
+
+
+# toxicity
+
+def test_the_driver_gets_one_text_per_labelled_id(spark, monkeypatch):
+    rows = [(1, f"word {i} of the hot one", "en", "s") for i in range(300)] + [(i, f"word {i}", "en", "s") for i in range(2, 30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, toxic int")
+    sizes = []
+    monkeypatch.setattr(toxicity, "train", lambda *parts: sizes.append(sum(map(len, parts))))
+    toxicity.fit(spark.createDataFrame(rows, SCHEMA), labels)
+    assert sizes == [29]

@@ -125,7 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learn from the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) marks.
 
     Labelled rows are halved by a hash of the id: one half trains the dictionaries, the other the thresholds.
-    The driver gets at most ``2 * SAMPLE_ROWS + CALIBRATION_ROWS`` texts of at most ``SAMPLE_CHARS`` characters.
+    Of rows with equal doc_id one text is learnt from, so the driver gets at most
+    ``2 * SAMPLE_ROWS + CALIBRATION_ROWS`` texts of at most ``SAMPLE_CHARS`` characters.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ranked = marked.withColumn("order", F.xxhash64("doc_id")).withColumn("half", F.pmod("order", F.lit(2)))
@@ -133,7 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     chosen = part("half = 0 and toxic = 1", SAMPLE_ROWS).unionByName(
         part("half = 0 and toxic = 0", SAMPLE_ROWS)).unionByName(part("half = 1", CALIBRATION_ROWS))
     sample = docs.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS).join(
-        F.broadcast(chosen), "doc_id").select("order", "doc_id", "half", "toxic", "text").toPandas()
+        F.broadcast(chosen), "doc_id").groupBy("order", "doc_id", "half", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")).select(
+        "order", "doc_id", "half", "toxic", "first.text").toPandas()
     sample = sample.sort_values(["order", "doc_id", "text"])
     pick = lambda half, toxic: sample[(sample.half == half) & (sample.toxic == toxic)].text.tolist()
     later = sample[sample.half == 1]
