@@ -56,8 +56,16 @@ def test_row_numbers_have_no_single_partition(staged):
     assert "SinglePartition" not in plan and "Python" not in plan
 
 
-def test_python_parser_runs_once(spark):
-    cfg = inputs.config(dt_or_dttm_format="%d %b %Y")
+def valid_plan(spark, fmt):
+    cfg = inputs.config(dt_or_dttm_format=fmt)
     staged = staging.stage(inputs.raw_rows(spark, SF), inputs.mapping(spark, SF), cfg)
-    plan = plan_of(staging.valid(staged, cfg).select(F.col("dttm"), F.col("info")))
-    assert plan.count("ArrowEvalPython") == 1
+    return plan_of(staging.valid(staged, cfg).select(F.col("dttm"), F.col("info")))
+
+
+@pytest.mark.parametrize("fmt", ["%d %b %Y", "%A %d %B %Y %I %p", "%Y %j %z"])
+def test_names_and_offsets_need_no_python(spark, fmt):
+    assert "Python" not in valid_plan(spark, fmt)
+
+
+def test_python_parser_runs_once(spark):
+    assert valid_plan(spark, "%x %X").count("ArrowEvalPython") == 1
