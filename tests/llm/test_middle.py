@@ -1,0 +1,87 @@
+"""Fill-in-the-middle: the boundary set against plain lists, the query against a plain version, and its SQL."""
+
+import hashlib
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.llm import middle
+from tillroll.llm.queries import ORACLE, QUERIES
+from tillroll.llm.tables import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(doc_id, text):
+    text = text or ""
+    lines = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i:i + 8], 16) for i in range(0, 32, 8)]
+    n = len(lines)
+    if not text or re.search("<[PSM]>", text):
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(lines[:a]), "".join(lines[a:b]), "".join(lines[b:])
+    if h[3] % 100 < 50:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+@pytest.mark.parametrize("kind, offsets", [
+    ("array", [0, 5, 9, 70_000, 70_002, 200_000]),
+    ("run", [*range(100, 60_000), *range(65_530, 65_600)]),
+    ("bitmap", [*range(0, 65_536, 3), 65_536 * 4 + 1]),
+    ("array", [7]),
+    ("mixed", sorted(random.Random(1).sample(range(500_000), 60_000))),
+])
+def test_select_of_every_container(kind, offsets):
+    found = middle.BoundarySet.of(np.array(offsets))
+    assert kind == "mixed" or found.containers[0].kind == kind
+    assert len(found) == len(offsets)
+    ranks = {0, len(offsets) - 1, *random.Random(2).sample(range(len(offsets)), min(500, len(offsets)))}
+    assert [found.select(rank) for rank in sorted(ranks)] == [offsets[rank] for rank in sorted(ranks)]
+
+
+def test_no_boundaries():
+    assert len(middle.line_ends("")) == 0
+    assert [middle.line_ends("\n\na").select(i) for i in range(3)] == [1, 2, 3]
+
+
+AWKWARD = [
+    (1, "a\nb\nc"), (2, None), (3, ""), (None, "x\ny\n"), (4, "\n\n\n"), (5, "has <P> a mark\n"), (6, "<S\n<\n><M\n>P>"),
+    (7, "один\nдва\n🙂🙂\nтри"), (7, "один\nдва\n🙂🙂\nтри"), (8, "l\n" * 100_000), (9, "no end " * 50_000), (10, "\r\n\x00 \n"),
+    *[(100 + i, "a\nbb\n\nccc\nd") for i in range(40)]]
+
+
+def test_awkward_rows_equal_the_plain_version(spark):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in AWKWARD], "doc_id long, text string, output string")
+    found = middle.fill_in_middle(docs.withColumn("form", F.lit(1)))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(str((i, *plain(i, t))) for i, t in AWKWARD)
+    back = found.select("doc_id", middle.restored(F.col("output"), F.col("form")).alias("t")).collect()
+    assert sorted((str(i), t) for i, t in back) == sorted((str(i), t or "") for i, t in AWKWARD)
+
+
+def test_shares_and_names_are_parameters(spark):
+    docs = spark.createDataFrame([(str(i), "a\nb\n") for i in range(50)], "`a.id` string, body string")
+    found = middle.fill_in_middle(docs, "body", "a.id", seed=3, fim_percent=0)
+    assert {row["form"] for row in found.collect()} == {"plain"}
+    found = middle.fill_in_middle(docs, "body", "a.id", seed=3, spm_percent=100)
+    assert {row["form"] for row in found.collect()} == {"spm"}
+
+
+def test_no_rows(spark):
+    assert middle.fill_in_middle(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_query_equals_its_sql_and_the_plain_version(spark):
+    found = sorted(map(tuple, QUERIES["op11_fill_in_middle"](spark, SF).collect()))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    assert found == sorted(connection.execute(ORACLE["op11_fill_in_middle"]).fetchall())
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    docs = table(spark, SF, "documents").select("doc_id", "text").collect()
+    assert found == sorted((i, *(p := plain(i, t))[:4], sha(p[4]), sha(t or "")) for i, t in docs)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillroll.llm.html import op10_html
 from tillroll.llm.language import op8_language
+from tillroll.llm.middle import OP11_SQL, op11_fill_in_middle
 from tillroll.llm.mixing import OP7_SQL, op7_mixing
 from tillroll.llm.fingerprints import op4_fingerprints
 from tillroll.llm.neardup import op2_near_duplicates
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_html": op10_html,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
-ORACLE = {"op7_mixing": OP7_SQL}
+ORACLE = {"op7_mixing": OP7_SQL, "op11_fill_in_middle": OP11_SQL}
