@@ -5,10 +5,12 @@ import random
 import zlib
 from itertools import product
 
+import duckdb
+import pandas as pd
 import pytest
 
 from tillroll.llm import conversations
-from tillroll.llm.queries import QUERIES
+from tillroll.llm.queries import ORACLE, QUERIES
 from tillroll.llm.tables import table
 
 SF = "/root/testdata/sf0.001"
@@ -170,3 +172,21 @@ def test_query_equals_the_plain_version(spark):
     found = QUERIES["op12_conversation_repair"](spark, SF).collect()
     assert sorted(map(str, map(tuple, found))) == plain(list(map(tuple, given)))
     assert {row["audit"] for row in found} & {"", "KK"}
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_query_equals_its_sql(spark, scale):
+    folder = f"/root/testdata/sf{scale}"
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet'")
+    expected = connection.execute(ORACLE["op12_conversation_repair"]).fetchall()
+    assert sorted(map(tuple, QUERIES["op12_conversation_repair"](spark, folder).collect())) == sorted(expected)
+
+
+def test_sql_of_awkward_rows_equals_the_plain_version():
+    rows = pd.DataFrame([row for row in awkward() if row[0] is None or row[0] < 900], columns=["conv_id", "turn", "role", "text"], dtype=object)
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE conversations (conv_id BIGINT, turn INTEGER, role VARCHAR, text VARCHAR)")
+    connection.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [tuple(row) for row in rows.itertuples(index=False)])
+    found = connection.execute(ORACLE["op12_conversation_repair"]).fetchall()
+    assert sorted(map(str, found)) == plain([tuple(row) for row in rows.itertuples(index=False)])

@@ -410,3 +410,54 @@ _EDITS = {
     "a": [_move("a", "D", "2"), _move("u", "K", _ROW_COST, _LINE, f"{_USABLE} AND i = 'a'"),
           _move("u", "R", f"1 + {_ROW_COST}", "'assistant:' || text", _USABLE)],
 }
+
+# ``crc32`` as SQL: eight steps for each of the few characters of a key, all of them ASCII.
+_CRC = ("list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, length(k) + 1), lambda j: unicode(substr(k, j, 1))::UBIGINT)), "
+        "lambda h, b: list_reduce(list_prepend(xor(h, b), list_transform(range(8), lambda j: 0::UBIGINT)), "
+        "lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END))")
+_CORE = "rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+OP12_SQL = f"""
+    WITH RECURSIVE keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+        FROM conversations),
+    faults AS (SELECT *, xor({_CRC}, 4294967295::UBIGINT) % 20 AS f FROM keyed),
+    damaged AS (
+        SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE f WHEN 1 THEN '' WHEN 2 THEN replace(replace(replace(text, '.', ''), '!', ''), '?', '') ELSE text END AS text,
+               unnest(CASE f WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+        FROM faults WHERE f <> 0),
+    numbered AS (
+        SELECT *, substr(role, 1, 1) AS i, {_CORE} AS core,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS pos,
+               row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+        FROM damaged),
+    judged AS (
+        SELECT conv_id, turn, role, text, i, pos,
+               CASE WHEN core = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                    WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'whole' END AS kind,
+               lag(i) OVER (PARTITION BY conv_id ORDER BY pos) || i NOT IN ('su', 'ua', 'au') AS wrong
+        FROM numbered),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+               count(*) FILTER (kind = 'blank') AS blank, count(*) FILTER (kind = 'duplicate') AS duplicate,
+               count(*) FILTER (kind = 'truncated') AS truncated, count(*) FILTER (wrong) AS illegal, max(pos) AS n_rows
+        FROM judged GROUP BY conv_id),
+    step AS (
+        SELECT conv_id, 1::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS n,
+               NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS u,
+               NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS a
+        FROM counted
+        UNION ALL
+        SELECT conv_id, pos + 1, {_best(*_EDITS['n'])}, {_best(*_EDITS['s'])}, {_best(*_EDITS['u'])}, {_best(*_EDITS['a'])}
+        FROM ({_inserted('conv_id, pos, role, text, i, kind', '(SELECT step.*, role, text, i, kind FROM step JOIN judged ON judged.conv_id IS NOT DISTINCT FROM step.conv_id AND judged.pos = step.pos) AS p')}) AS q),
+    ended AS (
+        SELECT conv_id, pos, {_best('n', 'a')} AS best
+        FROM ({_inserted('conv_id, pos', 'step')}) AS q),
+    given AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT given.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+           coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+    FROM given LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM given.conv_id
+    LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM given.conv_id AND ended.pos = n_rows + 1"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillroll.llm.conversations import op12_conversation_repair
+from tillroll.llm.conversations import OP12_SQL, op12_conversation_repair
 from tillroll.llm.html import op10_html
 from tillroll.llm.language import op8_language
 from tillroll.llm.middle import OP11_SQL, op11_fill_in_middle
@@ -29,4 +29,4 @@ QUERIES = {
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_conversation_repair": op12_conversation_repair,
 }
-ORACLE = {"op7_mixing": OP7_SQL, "op11_fill_in_middle": OP11_SQL}
+ORACLE = {"op7_mixing": OP7_SQL, "op11_fill_in_middle": OP11_SQL, "op12_conversation_repair": OP12_SQL}
