@@ -2,8 +2,8 @@
 
 A word is predicted in three steps: its class, its outcome within the class, and itself within the outcome. The most
 frequent words are outcomes of their own; all others share outcomes by a hash of their last letters, within which
-they follow their counts. Both softmax layers sum the weights of hashed features of the three words before: a bigram, a
-trigram and two skips.
+they follow their counts. The softmax layers sum weights of features of the words before: of a bigram, a hashed trigram
+and two skips for the class, and hashed with the class of a bigram and a skip for the outcome.
 
 Texts become blocks of numbered words once. Counts are grouped over all blocks; each block gets back the counts of
 its own words only, so no task and not the driver needs to hold the vocabulary. The model's size is fixed.
@@ -39,7 +39,7 @@ ROWS = CLASS_ROWS + MEMBER_ROWS
 BLOCK_TOKENS = 1 << 19
 ROUNDS = 3                  # shares of each block's texts, one after the other; the model is averaged after each
 STEP_TOKENS = 1 << 13
-RATE = 0.25
+RATE = 0.15
 SCALE = 1 << 20             # weights travel as whole numbers, whose sums do not depend on their order
 _CACHED_WORDS = 1 << 18
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -185,7 +185,7 @@ def new_model(frequent: list[tuple[int, int]], suffixes: list[tuple[int, int, in
 
 
 def features(outcomes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The rows of the class layer that predict each of ``outcomes``; texts begin at ``starts``."""
+    """The rows of the class layer that predict each of ``outcomes``, beside row 0; texts begin at ``starts``."""
     before = []
     current = outcomes
     for _ in range(3):
@@ -193,24 +193,34 @@ def features(outcomes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         current[starts] = START
         before.append(current)
     one, two, three = before
-    trigram = ((one * (OUTCOMES + 1) + two).astype(np.uint64) * _MIX >> np.uint64(64 - 12)).astype(np.int64)
+    trigram = _hashed(one * (OUTCOMES + 1) + two, TRIGRAMS)
     step = OUTCOMES + 1
-    return np.stack([np.zeros(len(one), np.int64), 1 + one, 1 + step + two, 1 + 2 * step + three, 1 + 3 * step + trigram], 1)
+    return np.stack([1 + one, 1 + step + two, 1 + 2 * step + three, 1 + 3 * step + trigram])
 
 
 def member_rows(rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The rows of the second layer: one of the class, and the hashed pairs of each further feature and the class."""
-    pairs = (rows[:, 1:] * CLASSES + classes[:, None]).astype(np.uint64) * _MIX >> np.uint64(64 - 14)
-    return CLASS_ROWS + np.concatenate([classes[:, None], CLASSES + pairs.astype(np.int64)], 1)
+    """The rows of the second layer, beside that of the class: hashed pairs of the last two words and the class."""
+    return CLASS_ROWS + CLASSES + _hashed(rows[:2] * CLASSES + classes, MEMBER_ROWS - CLASSES)
 
 
-def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The logarithms of the probabilities that sums of rows of weights give."""
-    sums = weights[rows[:, 0]]
-    for column in range(1, rows.shape[1]):
-        sums += weights[rows[:, column]]
+def _hashed(numbers: np.ndarray, rows: int) -> np.ndarray:
+    """``rows`` is a power of two."""
+    return (numbers.astype(np.uint64) * _MIX >> np.uint64(65 - rows.bit_length())).astype(np.int64)
+
+
+def _exponents(weights: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of rows of weights, less the greatest of each."""
+    sums = weights[first] + weights[rows[0]]
+    for column in rows[1:]:
+        sums += weights[column]
     sums -= sums.max(1, keepdims=True)
-    return sums - np.log(np.exp(sums).sum(1, keepdims=True))
+    return sums
+
+
+def _log_softmax_at(weights: np.ndarray, first: np.ndarray, rows: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    sums = _exponents(weights, first, rows)
+    chosen = sums[np.arange(len(targets)), targets]
+    return chosen - np.log(np.exp(sums, out=sums).sum(1))
 
 
 def log_probabilities(model: Model, outcomes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -220,20 +230,31 @@ def log_probabilities(model: Model, outcomes: np.ndarray, starts: np.ndarray) ->
     for at in range(0, len(outcomes), STEP_TOKENS):
         part = slice(at, at + STEP_TOKENS)
         classes, members = np.divmod(outcomes[part], MEMBERS)
-        each = np.arange(len(classes))
-        found[part] = (_softmax(model.weights, rows[part])[each, classes]
-                       + _softmax(model.weights, member_rows(rows[part], classes))[each, members])
+        found[part] = (
+            _log_softmax_at(model.weights, np.zeros_like(classes), rows[:, part], classes)
+            + _log_softmax_at(model.weights, CLASS_ROWS + classes, member_rows(rows[:, part], classes), members))
     return found
 
 
-def gradient(weights: np.ndarray, rows: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows, sums, tokens): of each row that occurs, the gradient of the targets' log probability, and its tokens."""
-    error = -np.exp(_softmax(weights, rows))
+def gradient(
+    weights: np.ndarray, first: np.ndarray, rows: np.ndarray, targets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, sums, tokens): of each row that occurs, the gradient of the targets' log probability, and its tokens.
+
+    ``first`` has few different rows, ``rows`` many.
+    """
+    error = np.exp(_exponents(weights, first, rows))
+    error /= -error.sum(1, keepdims=True)
     error[np.arange(len(targets)), targets] += 1
-    flat = rows.T.ravel()
+    few, at = np.unique(first, return_inverse=True)
+    of_few = (np.arange(len(few))[:, None] == at).astype(np.float32)
+    flat = rows.ravel().astype(np.uint16 if ROWS <= 1 << 16 else np.uint32)
     order = np.argsort(flat, kind="stable")
-    found, at, tokens = np.unique(flat[order], return_index=True, return_counts=True)
-    return found, np.add.reduceat(error[order % len(targets)], at, axis=0), tokens
+    flat = flat[order]
+    ends = np.concatenate([[0], np.flatnonzero(flat[1:] != flat[:-1]) + 1, [len(flat)]])
+    sums = np.add.reduceat(np.take(error, order % len(targets), axis=0), ends[:-1], axis=0)
+    return (np.concatenate([few, flat[ends[:-1]].astype(np.int64)]), np.concatenate([of_few @ error, sums]),
+            np.concatenate([of_few.sum(1).astype(np.int64), np.diff(ends)]))
 
 
 class _Learner:
@@ -249,14 +270,15 @@ class _Learner:
         for at in range(0, len(outcomes), STEP_TOKENS):
             part = slice(at, at + STEP_TOKENS)
             classes, members = np.divmod(outcomes[part], MEMBERS)
-            self._step(rows[part], classes)
-            self._step(member_rows(rows[part], classes), members)
-
-    def _step(self, rows: np.ndarray, targets: np.ndarray) -> None:
-        found, sums, tokens = gradient(self.weights, rows, targets)
-        means = sums / np.sqrt(tokens)[:, None]
-        self.squares[found] += means * means
-        self.weights[found] += RATE * means / np.sqrt(self.squares[found])
+            self._step(np.zeros_like(classes), rows[:, part], classes)
+            self._step(CLASS_ROWS + classes, member_rows(rows[:, part], classes), members)
+
+    def _step(self, first: np.ndarray, rows: np.ndarray, targets: np.ndarray) -> None:
+        found, sums, tokens = gradient(self.weights, first, rows, targets)
+        means = (sums / np.sqrt(tokens)[:, None]).astype(np.float32)
+        squares = self.squares[found] + means * means
+        self.squares[found] = squares
+        self.weights[found] += np.float32(RATE) * means / np.sqrt(squares)
         self.tokens[found] += tokens
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tillroll.llm.conversations import OP12_SQL, op12_conversation_repair
 from tillroll.llm.html import op10_html
 from tillroll.llm.language import op8_language
+from tillroll.llm.maxent import op13_lm_scoring
 from tillroll.llm.middle import OP11_SQL, op11_fill_in_middle
 from tillroll.llm.mixing import OP7_SQL, op7_mixing
 from tillroll.llm.fingerprints import op4_fingerprints
@@ -28,5 +29,6 @@ QUERIES = {
     "op10_html": op10_html,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 ORACLE = {"op7_mixing": OP7_SQL, "op11_fill_in_middle": OP11_SQL, "op12_conversation_repair": OP12_SQL}
