@@ -276,7 +276,9 @@ ORACLE = {
                    row_number() OVER (PARTITION BY file_name ORDER BY receipt_no) AS row_index
             FROM fixed LEFT JOIN mapping ON shop_num = code
         ) {ERRORS}""",
+    "receipts_errors_ranked": f"WITH {STAGED} {ERRORS}",
     "receipts_errors_ties": ERRORS_TIES,
+    "receipts_errors_ties_ranked": ERRORS_TIES,
     "receipts_errors_ties_split": ERRORS_TIES,
     "shop_ids": f"WITH {STAGED} SELECT shop_id FROM staged WHERE shop_id IS NOT NULL",
     "stage_counts": f"""

@@ -279,6 +279,11 @@ def receipts_errors(spark, sf_dir):
     return staging.errors(_stage(spark, sf_dir), inputs.config())
 
 
+def receipts_errors_ranked(spark, sf_dir):
+    """Failed rows numbered by counting the rows before them, without a sort of the others."""
+    return staging.errors(_stage(spark, sf_dir), inputs.config(rank="counting"))
+
+
 def receipts_errors_fixed_date(spark, sf_dir):
     return staging.errors(_fix_stage(spark, sf_dir), inputs.config(fix_date=True))
 
@@ -443,7 +448,9 @@ QUERIES = {
     "receipts_errors": receipts_errors,
     "receipts_errors_fixed_date": receipts_errors_fixed_date,
     "receipts_errors_ties": receipts_errors_ties,
-    "receipts_errors_ties_split": partial(receipts_errors_ties, rows_per_task=0, broadcast_bytes=0),
+    "receipts_errors_ties_split": partial(receipts_errors_ties, rows_per_task=0, broadcast_bytes=0, places_bytes=0),
+    "receipts_errors_ranked": receipts_errors_ranked,
+    "receipts_errors_ties_ranked": partial(receipts_errors_ties, rank="counting"),
     "shop_ids": shop_ids,
     "stage_counts": stage_counts,
     "conform_receipt": conform_receipt,

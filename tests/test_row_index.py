@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from tillroll.operators.row_index import _placed, with_row_index
+from tillroll.operators.row_index import _placed, rank_by_counting, with_row_index
 from tillroll.scratch import materialise
 
 
@@ -44,3 +44,35 @@ def test_copies_of_one_row_are_spread_over_tasks(spark):
     sizes = [row["count"] for row in placed.groupBy("__part").count().collect()]
     assert sum(sizes) == 20_000
     assert len(sizes) == 4 and max(sizes) < 10_000
+
+
+def ranked_rows():
+    chance = random.Random(8)
+    values = [None, "", "a", "a\0", "a\0\1", "ab", "b" * 60, "ß", "\x01", "\x02", *map(str, range(40))]
+    rows = []
+    for n in range(4_000):
+        value, tie = chance.choice(values), chance.choice([None, b"", b"\0", b"\0\1", b"x"])
+        # what is chosen depends on the place alone
+        rows.append((chance.choice(["f0", "f1", "f1\0", None, "g"]), value, tie, hash((value, tie)) % 7 == 0))
+    return rows + [("hot", "x", b"t", True)] * 5_000 + [("hot", str(n), b"t", False) for n in range(3_000)]
+
+
+@pytest.mark.parametrize("per_task", [1_000_000, 700])
+def test_ranks_by_counting_equal_those_of_a_sort(spark, per_task):
+    df = materialise(spark.createDataFrame(ranked_rows(), "file string, value string, tie binary, bad boolean").repartition(6))
+    expected = with_row_index(df, ["file"], ["value", "tie"]).filter("bad")
+    found = rank_by_counting(df, "bad", ["file"], ["value", "tie"], rows_per_task=per_task)
+    order = lambda rows: sorted(map(str, map(tuple, rows.select(*expected.columns).collect())))
+    assert order(found) == order(expected)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = plan.index("MapInArrow")
+    assert "Sort" not in plan[scan:] and "Exchange" not in plan[scan:]
+
+
+def test_ranks_of_none_and_of_too_many(spark):
+    df = spark.createDataFrame([("f", "1", b"", False), ("f", "2", b"", False)], "file string, value string, tie binary, bad boolean")
+    assert rank_by_counting(df, "bad", ["file"], ["value", "tie"]).collect() == []
+    assert rank_by_counting(df.limit(0), "bad", ["file"], ["value", "tie"]).collect() == []
+    assert rank_by_counting(df.withColumn("bad", df["value"] == "2"), "bad", ["file"], ["value", "tie"], max_bytes=5) is None
+    with pytest.raises(ValueError, match="cannot be ranked"):
+        rank_by_counting(df, "bad", ["file"], ["bad"])

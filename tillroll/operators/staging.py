@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.receipts import (
     date_error, info_json, quoted, receipt_code, shop_error, with_dttm)
-from tillroll.operators.lookup import BROADCAST_BYTES, join_lookup
+from tillroll.operators.lookup import BROADCAST_BYTES, join_lookup, measured_bytes
 from tillroll.operators.mapping import map_shops
-from tillroll.operators.row_index import ROWS_PER_TASK, with_row_index
+from tillroll.operators.row_index import PLACES_BYTES, ROWS_PER_TASK, rank_by_counting, with_row_index
 from tillroll.scratch import materialise
 
 
@@ -20,7 +20,9 @@ from tillroll.scratch import materialise
 class ReceiptConfig:
     """Parameters of one job; the names are those of the job's configuration.
 
-    The fields after ``separated_file_for_each_shop`` are additions.
+    The fields after ``separated_file_for_each_shop`` are additions. ``rank`` says how failed rows get their numbers:
+    ``"counting"`` finds them without a sort of the others, ``"auto"`` does so only where a file has more than
+    ``rows_per_task`` rows; both sort where the places of the failed rows take more than ``places_bytes``.
     """
 
     columns: list[str]
@@ -38,11 +40,15 @@ class ReceiptConfig:
     code_hash: str = "hash"
     broadcast_bytes: int = BROADCAST_BYTES
     rows_per_task: int = ROWS_PER_TASK
+    places_bytes: int = PLACES_BYTES
+    rank: str = "auto"
     csv_options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         if len(set(self.columns)) != len(self.columns):
             raise ValueError("column names must differ")
+        if self.rank not in ("auto", "counting"):
+            raise ValueError(f"rank must be 'auto' or 'counting', not {self.rank!r}")
 
 
 def stage(raw: DataFrame, mapping: DataFrame, cfg: ReceiptConfig) -> DataFrame:
@@ -89,13 +95,34 @@ def shop_ids(staged: DataFrame) -> DataFrame:
 
 def counts(staged: DataFrame) -> DataFrame:
     """Rows read, errors, receipts and mapped rows per day, in one pass."""
-    return daily_counts(file_sizes(staged))
+    unmapped, undated = F.col("__shop_id").isNull(), ~F.col("__dated")
+    return staged.groupBy(F.col("__dt").alias("dt")).agg(
+        F.count_if(F.col("__copy") == 1).alias("raw_rows"),
+        (F.count_if(unmapped) + F.count_if(undated)).alias("error_rows"),
+        F.count_if(_is_valid()).alias("valid_rows"), F.count_if(~unmapped).alias("mapped_rows"))
+
+
+def day_kinds(first: date, days: int) -> Column:
+    """An aggregate that can be observed while staged rows are written: how many rows there are of each kind and day.
+
+    A day has eight kinds of rows, which ``day_counts`` adds up. The histogram has a bin for each, hence is exact.
+    """
+    kind = sum(F.when(flag, bit).otherwise(0) for bit, flag in (
+        (1, F.col("__copy") == 1), (2, F.col("__shop_id").isNull()), (4, ~F.col("__dated"))))
+    return F.histogram_numeric(8 * F.datediff(F.col("__dt"), F.lit(first)) + kind, F.lit(8 * max(days, 1)))
 
 
-def daily_counts(sizes: DataFrame) -> DataFrame:
-    return sizes.groupBy(F.col("__dt").alias("dt")).agg(
-        F.sum("__rows").alias("raw_rows"),
-        *[F.sum(name).alias(name) for name in ("error_rows", "valid_rows", "mapped_rows")])
+def day_counts(kinds: list) -> dict[int, dict[str, int]]:
+    """The numbers of ``counts`` by the day's place in the range, from what ``day_kinds`` found."""
+    found: dict[int, dict[str, int]] = {}
+    for kind, rows in ((int(bin_["x"]), int(bin_["y"])) for bin_ in kinds or []):
+        day = found.setdefault(kind // 8, dict.fromkeys(("raw_rows", "error_rows", "valid_rows", "mapped_rows"), 0))
+        unmapped, undated = bool(kind & 2), bool(kind & 4)
+        day["raw_rows"] += rows * (kind & 1)
+        day["error_rows"] += rows * (unmapped + undated)
+        day["valid_rows"] += rows * (not unmapped and not undated)
+        day["mapped_rows"] += rows * (not unmapped)
+    return found
 
 
 def daily_shop_ids(staged: DataFrame) -> DataFrame:
@@ -104,9 +131,9 @@ def daily_shop_ids(staged: DataFrame) -> DataFrame:
 
 
 def daily_errors(
-    staged: DataFrame, cfg: ReceiptConfig, written: bool = False, sizes: DataFrame | None = None
+    staged: DataFrame, cfg: ReceiptConfig, written: bool = False, largest: int | None = None
 ) -> DataFrame:
-    """``Error`` and ``dt``. ``sizes`` (``file_sizes``, a written table) spares counting again."""
+    """``Error`` and ``dt``. No file has more than ``largest`` rows, which are counted unless given."""
     if not written:
         # One pass over the source for both kinds of errors.
         kept = ["__dt", "__file_name", "__copy", "__copies", "__dated", "__shop_id", "__error_class", "__error_value"]
@@ -114,7 +141,7 @@ def daily_errors(
     unmapped = staged.filter(F.col("__shop_id").isNull()).select(
         F.col("__dt").alias("dt"), shop_error(quoted(cfg.shop_num_column_name)).alias("Error"))
     undated = (
-        indexed_rejects(staged, cfg, written, sizes)
+        indexed_rejects(staged, cfg, written, largest)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
         .select(
             F.col("__dt").alias("dt"),
@@ -132,45 +159,35 @@ def tie_key(columns: list[str]) -> Column:
     return F.unhex(F.md5(F.concat(*values, F.lit(""))))
 
 
-def file_sizes(staged: DataFrame) -> DataFrame:
-    """Per day and file: its rows, its rows whose time failed, and what ``counts`` sums up per day."""
-    unmapped, undated = F.col("__shop_id").isNull(), ~F.col("__dated")
-    once = F.col("__copy") == 1
-    return staged.groupBy("__dt", "__file_name").agg(
-        F.count_if(once).alias("__rows"), F.count_if(once & undated).alias("__rejects"),
-        (F.count_if(unmapped) + F.count_if(undated)).alias("error_rows"),
-        F.count_if(_is_valid()).alias("valid_rows"), F.count_if(~unmapped).alias("mapped_rows"))
-
-
 def indexed_rejects(
-    staged: DataFrame, cfg: ReceiptConfig, written: bool = False, sizes: DataFrame | None = None
+    staged: DataFrame, cfg: ReceiptConfig, written: bool = False, largest: int | None = None
 ) -> DataFrame:
     """The rows whose time failed, with ``__index`` counted over all rows of their file.
 
     Rows are numbered by the first raw column. Ties, which may be numbered in any order, are settled by
     ``tie_key`` of the other columns, so that 16 bytes per row are sorted instead of the whole row, and only
     equal rows are exchangeable. Unless ``staged`` is ``written``, these few columns are, once. Only files with
-    a failed time are sorted.
+    a failed time are sorted, and none where the failed rows are ranked by counting.
     """
     first, *others = cfg.columns
-    tie = tie_key(others)
+    file = ["__dt", "__file_name"]
+    order = ["__first_value", "__tie"]
     rows = staged.filter(F.col("__copy") == 1).select(
-        "__dt", "__file_name", quoted(first).alias("__first_value"), tie.alias("__tie"), "__copies",
+        *file, quoted(first).alias("__first_value"), tie_key(others).alias("__tie"), "__copies",
         (~F.col("__dated")).alias("__rejected"), "__error_class", "__error_value")
     if not written:
         rows = materialise(rows)
-    if sizes is None:
-        sizes = materialise(rows.groupBy("__dt", "__file_name").agg(
-            F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__rejected")).alias("__rejects")))
-    files = sizes.filter(F.col("__rejects") > 0).select("__dt", "__file_name", "__rows")
-    found = files.agg(F.max("__rows").alias("rows"), F.count(F.lit(1)).alias("files")).first()
-    # About the bytes of a row of names and days; most files have names of one length.
-    size = found["files"] * 256
-    affected = join_lookup(
-        rows, files.select("__dt", "__file_name"), ["__dt", "__file_name"], "left_semi", cfg.broadcast_bytes, size)
+    if largest is None:
+        largest = rows.groupBy(*file).count().agg(F.max("count").alias("rows")).first()["rows"] or 0
+    if cfg.rank == "counting" or largest > cfg.rows_per_task:
+        ranked = rank_by_counting(rows, "__rejected", file, order, cfg.places_bytes, max(cfg.rows_per_task, 1))
+        if ranked is not None:
+            return ranked
+    files = materialise(rows.filter("__rejected").select(*file).distinct())
+    size = measured_bytes(files)
+    affected = join_lookup(rows, files, file, "left_semi", cfg.broadcast_bytes, size)
     indexed = with_row_index(
-        affected, ["__dt", "__file_name"], ["__first_value", "__tie"], found["rows"] or 0, cfg.rows_per_task,
-        written=size <= cfg.broadcast_bytes)  # then it is a filter over a table
+        affected, file, order, largest, cfg.rows_per_task, written=size <= cfg.broadcast_bytes)  # then it is a filter over a table
     return indexed.filter(F.col("__rejected"))
 
 

@@ -6,13 +6,14 @@ import logging
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.staging import (
-    ReceiptConfig, daily_counts, daily_errors, daily_shop_ids, file_sizes, stage, valid)
+    ReceiptConfig, daily_errors, daily_shop_ids, day_counts, day_kinds, stage, valid)
 from tillroll.scratch import is_without_files, job_folder, materialise
-from tillroll.sinks.datasets import overwrite_days, write_daily_datasets
+from tillroll.sinks.datasets import publish_daily_datasets, publish_days
+from tillroll.sinks.publish import Publication, publication
 from tillroll.sources.files import dates_in_range, read_raw
 
 logger = logging.getLogger(__name__)
@@ -57,8 +58,11 @@ def history_extract(
     per day and output.
 
     The mapping and the staged rows are written once, so the database is asked and the raw files are
-    read and parsed a single time, and the three outputs agree even if either changes meanwhile. All working
-    tables are in one folder, which goes at the end.
+    read and parsed a single time, and the three outputs agree even if either changes meanwhile. The staged rows are
+    counted as they are written. All working tables are in one folder, which goes at the end.
+
+    The outputs are written beside the targets and published together when all are there: a run that fails leaves the
+    former three, and what a run that died left half published is undone by the next (``recover``).
     """
     if layout not in ("partitioned", "daily"):
         raise ValueError(f"unknown layout {layout!r}")
@@ -66,20 +70,24 @@ def history_extract(
     with job_folder(spark) as folder:
         mapping = materialise(mapping, f"{folder}/mapping")
         raw = read_job_files(spark, raw_base, mapping, cfg, missing)
-        staged = materialise(stage(raw, mapping, cfg), f"{folder}/staged", partition_by="__dt")
-        sizes = materialise(file_sizes(staged))
-        found = {row["dt"]: DayCounts(**row.asDict()) for row in daily_counts(sizes).collect()}  # one per day
+        watched = Observation()
+        rows = stage(raw, mapping, cfg)
+        if days:
+            rows = rows.observe(watched, day_kinds(days[0], len(days)).alias("kinds"))
+        staged = materialise(rows, f"{folder}/staged")
+        found = day_counts(watched.get["kinds"] if days else [])
+        result = [DayCounts(day, **found.get(place, {})) for place, day in enumerate(days)]
+        for day in result:
+            logger.info("%s", day)
         outputs = {
             "transformed": valid(staged, cfg, as_of),
-            "errors": daily_errors(staged, cfg, written=True, sizes=sizes),
+            "errors": daily_errors(staged, cfg, written=True, largest=max([day.raw_rows for day in result], default=0)),
             "shop_ids": daily_shop_ids(staged),
         }
-        result = [found.get(day, DayCounts(day)) for day in days]
-        for day in result:
-            logger.info("%s", day)
         prefix = f"{target_base.rstrip('/')}/{cfg.system_code}_{cfg.data_type}"
-        write = _write_partitioned if layout == "partitioned" else _write_daily
-        write(outputs, prefix, result)
+        publish = _publish_partitioned if layout == "partitioned" else _publish_daily
+        with publication(spark, target_base) as published:
+            publish(published, outputs, prefix, result)
         return result
 
 
@@ -94,17 +102,17 @@ def read_output(spark: SparkSession, target_base: str, cfg: ReceiptConfig, outpu
     return reader.parquet(path).withColumn("dt", F.col("dt").cast("date"))
 
 
-def _write_partitioned(outputs: dict[str, DataFrame], prefix: str, days: list[DayCounts]) -> None:
+def _publish_partitioned(published: Publication, outputs: dict[str, DataFrame], prefix: str, days: list[DayCounts]) -> None:
     size = {"transformed": "valid_rows", "errors": "error_rows", "shop_ids": "mapped_rows"}
     for output, df in outputs.items():
         emptied = [day.dt for day in days if getattr(day, size[output]) == 0]
-        overwrite_days(df, f"{prefix}_{output}.parquet", emptied)
+        publish_days(published, df, f"{prefix}_{output}.parquet", emptied)
 
 
-def _write_daily(outputs: dict[str, DataFrame], prefix: str, days: list[DayCounts]) -> None:
+def _publish_daily(published: Publication, outputs: dict[str, DataFrame], prefix: str, days: list[DayCounts]) -> None:
     for output, df in outputs.items():
         names = {day.dt: f"{prefix}_{day.dt:%Y%m%d}_{output}.parquet" for day in days}
-        write_daily_datasets(df if output == "transformed" else df.withColumnRenamed("dt", "__day"), names)
+        publish_daily_datasets(published, df if output == "transformed" else df.withColumnRenamed("dt", "__day"), names)
 
 
 def _schema(cfg: ReceiptConfig, output: str) -> str:
