@@ -20,7 +20,7 @@ from checks.queries import QUERIES  # noqa: E402
 HEADLINE = [
     "csv_day_scan", "shop_mapping", "stage_mapped", "parse_fix_date", "row_index_per_file",
     "row_index_split_files", "receipts_valid", "receipts_errors", "stage_counts", "import_receipts",
-    "history_extract", "csv_shop_scan", "history_extract_daily",
+    "history_extract", "csv_shop_scan", "history_extract_daily", "parse_weekday", "receipts_errors_ranked",
 ]
 RUNS = 3
 

@@ -252,6 +252,11 @@ ORACLE = {
                CAST(CASE WHEN h4 >= 2147483648 THEN h4::BIGINT - 4294967296 ELSE h4::BIGINT END AS INTEGER)
                    AS receipt_code
         FROM four""",
+    "receipt_code_collisions": f"""
+        WITH {RAW}
+        SELECT shop_num || event_type AS code, count(*) AS rows FROM raw
+        GROUP BY shop_num || event_type
+        HAVING count(DISTINCT concat_ws('|', receipt_no, shop_num, coalesce(dttm_raw, '-'), event_type)) > 1""",
     "parse_dttm": f"WITH {STAGED} SELECT receipt_no, dttm FROM staged",
     "parse_fix_date": f"""
         WITH {RAW}, {FIXED}
@@ -260,6 +265,8 @@ ORACLE = {
     "parse_weekday": reparsed("%A %d %b %Y %H:%M:%S"),
     "parse_12_hour": reparsed("%d.%m.%Y %I:%M:%S %p"),
     "parse_offset": reparsed("%Y %j %H:%M:%S%z", "- INTERVAL '150 minutes'"),
+    "parse_iso_week": reparsed("%G-W%V-%u %H:%M:%S"),
+    "parse_week_of_year": reparsed("%Y %U %w %H:%M:%S"),
     "row_index_per_file": ROW_INDEX,
     "row_index_split_files": ROW_INDEX,
     "info_json": f"WITH {RAW} SELECT receipt_no, {info('receipt_no')} AS info FROM raw",
@@ -304,6 +311,20 @@ ORACLE = {
     "forecast_records": """
         SELECT event_id, ts AS dttm, CAST(user_id AS INTEGER) AS shop_id, event_type
         FROM events ORDER BY event_id LIMIT 10""",
+    "forecast_records_rejects": """
+        WITH given AS (
+            SELECT event_id, ts, event_id % 15 = 0 AS bad_time,
+                   CASE WHEN event_id % 10 = 0 THEN 'x' || user_id WHEN event_id % 17 = 0 THEN '99999999999'
+                        WHEN event_id % 19 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS shop,
+                   CASE WHEN event_id % 10 = 0 THEN 'not a value of type int'
+                        WHEN event_id % 17 = 0 THEN 'out of range for type int' END AS bad_shop
+            FROM events)
+        SELECT event_id, 'loaded' AS output, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '|' || coalesce(shop, 'none') AS content
+        FROM given WHERE NOT bad_time AND bad_shop IS NULL
+        UNION ALL
+        SELECT event_id, 'rejected', 'shop_id|' || shop || '|' || bad_shop FROM given WHERE bad_shop IS NOT NULL
+        UNION ALL
+        SELECT event_id, 'rejected', 'dttm|never-' || event_id || '|not a value of type timestamp' FROM given WHERE bad_time""",
     "forecast_records_import": f"""
         SELECT CAST(event_id AS VARCHAR) AS code, ts AS dttm, {AS_OF_DAY} AS dttm_added,
                {AS_OF_DAY} AS dttm_modified, 0 AS version, CAST(user_id AS INTEGER) AS shop_id, CAST(ts AS DATE) AS dt,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import inputs
-from tillroll.functions.receipts import info_json, receipt_code, with_dttm
+from tillroll.functions.receipts import code_collisions, info_json, receipt_code, with_dttm
 from tillroll.operators import schema, staging
 from tillroll.operators.lookup import join_lookup
 from tillroll.operators.mapping import map_shops
@@ -21,7 +21,7 @@ from tillroll.sinks.datasets import overwrite_dataset, overwrite_days
 from tillroll.sinks.tables import append_table
 from tillroll.sources.files import (
     file_plan, read_csv, read_dataset, read_raw, rename_positional)
-from tillroll.sources.records import read_records
+from tillroll.sources.records import read_records, read_records_or_rejects
 from tillroll.sources.tables import Split, preview_table, read_table
 
 AS_OF = datetime(2024, 2, 1, 12, 30, 15)
@@ -124,6 +124,22 @@ def forecast_records(spark, sf_dir):
     return records.select("event_id", _wall("dttm"), "shop_id", "event_type")
 
 
+def forecast_records_rejects(spark, sf_dir):
+    """Records with bad times and shops among them: those loaded, and what was rejected why."""
+    path = working_folder(spark) + "/records"
+    event = F.col("event_id")
+    shop = F.when(event % 10 == 0, F.concat(F.lit("x"), "user_id")).when(event % 17 == 0, "99999999999").when(
+        event % 19 == 0, None).otherwise(F.col("user_id").cast("string"))
+    inputs.table(spark, sf_dir, "events").select(
+        "event_id", F.when(event % 15 == 0, F.concat(F.lit("never-"), event.cast("string"))).otherwise(F.col("ts").cast("string")).alias("dttm"),
+        shop.alias("shop_id")).write.json(path)
+    records, rejects = read_records_or_rejects(
+        spark, path, "event_id bigint, dttm string, shop_id string", key=["event_id"])
+    loaded = F.concat_ws("|", F.date_format("dttm", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.coalesce(F.col("shop_id").cast("string"), F.lit("none")))
+    return records.select("event_id", F.lit("loaded").alias("output"), loaded.alias("content")).unionByName(
+        rejects.select("event_id", F.lit("rejected").alias("output"), F.concat_ws("|", "column", "value", "reason").alias("content")))
+
+
 def forecast_records_all(spark, sf_dir):
     """All records loaded into the receipt table, completed by its defaults."""
     records = inputs.table(spark, sf_dir, "events").select(
@@ -222,7 +238,8 @@ def _reparsed(spark, sf_dir, shown, fmt):
     """The raw times written another way, and parsed by the format of that; bad and missing ones stay."""
     raw = inputs.raw_rows(spark, sf_dir)
     time = F.try_to_timestamp(F.col("dttm_raw"), F.lit("dd.MM.yyyy HH:mm:ss"))
-    raw = raw.withColumn("dttm_raw", F.coalesce(F.date_format(time, shown), "dttm_raw"))
+    text = shown(time) if callable(shown) else F.date_format(time, shown)
+    raw = raw.withColumn("dttm_raw", F.coalesce(text, "dttm_raw"))
     return with_dttm(raw, "dttm_raw", fmt, "__dt").select(
         "receipt_no", _wall("__dttm").alias("dttm"), F.col("__error_class").alias("error_class"),
         F.col("__error_value").alias("error_value"))
@@ -242,6 +259,26 @@ def parse_offset(spark, sf_dir):
     return _reparsed(spark, sf_dir, "yyyy D HH:mm:ss'+02:30'", "%Y %j %H:%M:%S%z")
 
 
+def parse_iso_week(spark, sf_dir):
+    """Days by the week of the ISO year."""
+    return _reparsed(spark, sf_dir, lambda time: F.concat(
+        F.extract(F.lit("YEAROFWEEK"), time).cast("string"), F.lit("-W"), F.weekofyear(time).cast("string"), F.lit("-"),
+        (F.weekday(time) + 1).cast("string"), F.date_format(time, " HH:mm:ss")), "%G-W%V-%u %H:%M:%S")
+
+
+def parse_week_of_year(spark, sf_dir):
+    """Days by the number of Sundays up to them and the day of the week."""
+    return _reparsed(spark, sf_dir, lambda time: F.concat(
+        F.date_format(time, "yyyy "), F.floor((F.dayofyear(time) + 7 - F.dayofweek(time)) / 7).cast("string"), F.lit(" "),
+        (F.dayofweek(time) - 1).cast("string"), F.date_format(time, " HH:mm:ss")), "%Y %U %w %H:%M:%S")
+
+
+def receipt_code_collisions(spark, sf_dir):
+    """Codes of shop and type, which many different rows share."""
+    coded = inputs.raw_rows(spark, sf_dir).withColumn("receipt_code", receipt_code(inputs.COLUMNS, ["shop_num", "event_type"]))
+    return code_collisions(coded, inputs.COLUMNS, "receipt_code")
+
+
 def info_json_text(spark, sf_dir):
     return inputs.raw_rows(spark, sf_dir).withColumn(
         "receipt_code", receipt_code(inputs.COLUMNS, ["receipt_no"])
@@ -434,12 +471,15 @@ QUERIES = {
     "stage_mapped_numeric_code": stage_mapped_numeric_code,
     "receipt_code_concat": receipt_code_concat,
     "receipt_code_hash": receipt_code_hash,
+    "receipt_code_collisions": receipt_code_collisions,
     "parse_dttm": parse_dttm,
     "parse_fix_date": parse_fix_date,
     "parse_errors": parse_errors,
     "parse_weekday": parse_weekday,
     "parse_12_hour": parse_12_hour,
     "parse_offset": parse_offset,
+    "parse_iso_week": parse_iso_week,
+    "parse_week_of_year": parse_week_of_year,
     "row_index_per_file": row_index_per_file,
     "row_index_split_files": row_index_split_files,
     "info_json": info_json_text,
@@ -460,6 +500,7 @@ QUERIES = {
     "jdbc_append_skip": jdbc_append_skip,
     "import_receipts": import_receipts_query,
     "forecast_records": forecast_records,
+    "forecast_records_rejects": forecast_records_rejects,
     "forecast_records_import": forecast_records_all,
     "preview_table": preview,
     "history_extract": history,

@@ -34,6 +34,20 @@ def receipt_code(
     return getattr(F, code_hash)(*[quoted(name) for name in columns])
 
 
+def code_collisions(df: DataFrame, columns: Sequence[str], code: str) -> DataFrame:
+    """``(code, rows)`` of the values of the column ``code`` that rows of different ``columns`` share.
+
+    Rows differ if their 128-bit hashes do, which tell nulls from empty texts and where a value ends. Only the least and
+    the greatest hash of a code travel, so a code of very many rows is no burden.
+    """
+    values = [F.when(quoted(name).isNull(), "-").otherwise(F.concat(
+        F.octet_length(quoted(name).cast("string")).cast("string"), F.lit(":"), quoted(name).cast("string"))) for name in columns]
+    row = F.md5(F.concat(*values, F.lit("")))
+    return df.groupBy(quoted(code).alias("code")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(row).alias("__least"), F.max(row).alias("__greatest")
+    ).filter("__least <> __greatest").select("code", "rows")
+
+
 def with_dttm(df: DataFrame, source: str, fmt: str, day: str, fix_date: bool = False) -> DataFrame:
     """Add ``__dttm``, ``__dated``, ``__error_class`` and ``__error_value``, parsed from ``source``.
 

@@ -5,9 +5,9 @@ as ``2024-1-31 9:05:00`` by one ``regexp_replace`` and casts it; both are part o
 the time is a single expression, so that a filter pushed below it does not multiply the work. Error
 texts are worked out for rejected rows only.
 
-Formats with names of months or days (English ones), a 12-hour clock, a day of the year or an offset take a
-pattern too, whose parts are put together one by one. What goes by weeks or by the machine's locale and zone (``%U``
-``%W`` ``%G`` ``%V`` ``%u`` ``%w`` ``%c`` ``%x`` ``%X`` ``%Z``), and rare combinations, go through
+Formats with names of months or days (English ones), a 12-hour clock, a day of the year, weeks or an offset take a
+pattern too, which splits the text into parts that are put together one by one. What goes by the machine's locale
+and zone (``%c`` ``%x`` ``%X`` ``%Z``), and combinations that contradict themselves or lack a part, go through
 ``datetime.strptime`` in a pandas UDF.
 
 Two points differ from Python and are accepted: digits outside ASCII are rejected, and the message for
@@ -55,10 +55,16 @@ MORE_DIRECTIVES = {
     "I": r"(?<I>1[0-2]|0[1-9]|[1-9])",
     "p": _one_of("p", ["am", "pm"]),
     "j": r"(?<j>36[0-6]|3[0-5][0-9]|[12][0-9][0-9]|0[1-9][0-9]|00[1-9]|[1-9][0-9]|0[1-9]|[1-9])",
+    "U": r"(?<U>5[0-3]|[0-4][0-9]|[0-9])",
+    "W": r"(?<W>5[0-3]|[0-4][0-9]|[0-9])",
+    "G": r"(?<G>[0-9][0-9][0-9][0-9])",
+    "V": r"(?<V>5[0-3]|0[1-9]|[1-4][0-9]|[0-9])",
+    "u": r"(?<u>[1-7])",
+    "w": r"(?<w>[0-6])",
     "z": r"(?<z>[+-][0-9][0-9]:?[0-5][0-9](?::?[0-5][0-9](?:\.[0-9]{1,6})?)?|Z)",
 }
 # Directives of which a format may have one only, as the later would go before the earlier.
-EXCLUSIVE = ("Yy", "mBb", "HI")
+EXCLUSIVE = ("Yy", "mBb", "HI", "UW")
 SECONDS_PER_DAY = 86_400
 # What a format without the directive stands for.
 DEFAULTS = {"Y": "1900", "m": "1", "d": "1", "H": "0", "M": "0", "S": "0", "f": "0"}
@@ -69,6 +75,7 @@ CENTURY_PIVOT = 69
 SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 _TOKEN = re.compile(r"%(?P<directive>.)|(?P<space>\s+)|(?P<text>[^%\s]+)", re.DOTALL)
+_BETWEEN = "\x1f"  # no part of a time holds it
 _GROUP = re.compile(r"\(\?<(\w)>")
 
 
@@ -94,15 +101,15 @@ class FormatPattern:
         return any(directive in MORE_DIRECTIVES for directive in self.directives)
 
     @property
-    def _named_whole(self) -> str:
+    def named_whole(self) -> str:
         return self.named_prefix.replace(r"\A", r"\A(?:", 1) + r"(?:\z|(?<x>.).*)|.*)\z"
 
     @property
     def whole(self) -> str:
-        return _GROUP.sub("(", self._named_whole)
+        return _GROUP.sub("(", self.named_whole)
 
     def group(self, name: str) -> str:
-        return f"${_GROUP.findall(self._named_whole).index(name) + 1}"
+        return f"${_GROUP.findall(self.named_whole).index(name) + 1}"
 
     def _shown(self, directive: str) -> str:
         if directive not in self.directives:
@@ -146,11 +153,23 @@ def format_pattern(fmt: str) -> FormatPattern | None:
         return None
     if any(sum(name in directives for name in group) > 1 for group in EXCLUSIVE):
         return None
+    if not _week_fits(directives):
+        return None
     # Letters in the format match in either case; without any, the plain comparison is faster.
     flags = "(?siu)" if any(char.isalpha() for char in re.sub("%.", "", fmt)) else "(?s)"
     return FormatPattern(rf"{flags}\A{regex}", directives)
 
 
+def _week_fits(directives: str) -> bool:
+    """Whether a week of the format, if any, is either complete or without effect."""
+    has = lambda names: sum(name in directives for name in names)
+    if has("GV"):
+        return has("GV") == 2 and has("Aauw") == 1 and not has("UW") and not has("YyjmBbd")
+    if has("UW") and has("Aauw") and not has("j"):
+        return has("Aauw") == 1 and has("Yy") == 1
+    return True
+
+
 def python_repr(value: Column) -> Column:
     """The text Python prints for a string inside ``%r``."""
     text = value
@@ -201,11 +220,13 @@ def _with_pattern(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern
 
 def _with_parts(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern) -> DataFrame:
     has = lambda directive: directive in pattern.directives
-    part = lambda directive: F.regexp_replace(value, pattern.whole, pattern.group(directive))
+    groups = [name for name in _GROUP.findall(pattern.named_whole) if name != "x"]
+    parts = F.split(F.regexp_replace(value, pattern.whole, _BETWEEN.join(map(pattern.group, groups))), _BETWEEN)
+    part = lambda directive: F.get("__parts", groups.index(directive))
     number = lambda directive, default: part(directive).try_cast("int") if has(directive) else F.lit(default)
 
     def numbered(directive: str, names: list[str]) -> Column:
-        pairs = [F.lit(x) for i, name in enumerate(names) for x in (name if directive == "B" else name[:3], i + 1)]
+        pairs = [F.lit(x) for i, name in enumerate(names) for x in (name if directive in "AB" else name[:3], i + 1)]
         return F.element_at(F.create_map(*pairs), F.lower(part(directive)))
 
     if has("y"):
@@ -223,9 +244,31 @@ def _with_parts(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern)
     second = number("S", 0)
 
     fits, rest = value.rlike(pattern.prefix), F.regexp_replace(value, pattern.prefix, "")
-    date = F.try_make_timestamp_ntz(year, month, day, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    day_of = lambda *ymd: F.try_make_timestamp_ntz(*ymd, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    date, week_error = day_of(year, month, day), F.lit(None).cast("string")
     if has("j"):
-        date = F.date_add(F.try_make_timestamp_ntz(year, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("date"), number("j", 1) - 1)
+        date = F.date_add(day_of(year, F.lit(1), F.lit(1)), number("j", 1) - 1)
+    elif any(map(has, "Aauw")) and any(map(has, "GUW")):
+        weekday = next((numbered(name, WEEKDAYS) - 1 for name in "Aa" if has(name)), None)  # from Monday
+        if weekday is None:
+            weekday = number("u", 1) - 1 if has("u") else (number("w", 1) + 6) % 7
+        if has("G"):
+            iso, week = number("G", 1900), number("V", 1)
+            weeks = F.weekofyear(day_of(iso, F.lit(12), F.lit(28)))
+            fourth = day_of(iso, F.lit(1), F.lit(4))
+            date = F.date_add(F.date_sub(fourth, F.weekday(fourth)), 7 * (week - 1) + weekday)
+            week_error = (
+                F.when(iso == 0, "Year is out of range: 0")
+                .when((week < 1) | (week > weeks), F.concat(F.lit("Invalid week: "), week.cast("string"))))
+        else:
+            first = day_of(year, F.lit(1), F.lit(1))
+            week = number("U", 1) if has("U") else number("W", 1)
+            shift = 1 if has("U") else 0  # weeks begin on Sunday
+            begins, within = (F.weekday(first) + shift) % 7, (weekday + shift) % 7
+            date = F.date_add(first, F.when(week == 0, within - begins).otherwise((7 - begins) % 7 + 7 * (week - 1) + within))
+        shown_year = F.year(date)
+        week_error = F.coalesce(week_error, F.when((shown_year < 1) | (shown_year > 9999), F.concat(
+            F.lit("year "), shown_year.cast("string"), F.lit(" is out of range"))))
     seconds = (second + micros / 1_000_000).cast("decimal(16,6)")
     moment = F.when(second < 60, F.try_make_timestamp_ntz(
         F.year("__date"), F.month("__date"), F.dayofmonth("__date"), hour, number("M", 0), seconds))
@@ -257,6 +300,7 @@ def _with_parts(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern)
         .when(rest != "", F.concat(F.lit("unconverted data remains: "), rest))
         .when(wrong.isNotNull(), wrong)
         .when(F.lit(has("Y")) & (part("Y") == "" if has("Y") else F.lit(False)), "year 0 is out of range")
+        .when(F.col("__week_error").isNotNull(), F.col("__week_error"))
         .when(F.col("__date").isNull(), "day is out of range for month")
         .when(too_far, F.concat(F.lit(
             "offset must be a timedelta strictly between -timedelta(hours=24) and timedelta(hours=24), not "
@@ -271,10 +315,11 @@ def _with_parts(df: DataFrame, value: Column, fmt: str, pattern: FormatPattern)
         F.when(away % 1_000_000 != 0, F.concat(F.lit("."), F.lpad((away % 1_000_000).cast("string"), 6, "0"))).otherwise(""))
     good = F.col("__error_value").isNull()
     return (
-        df.withColumns({"__date": date, "__offset": offset})
+        df.withColumn("__parts", parts)
+        .withColumns({"__date": date, "__offset": offset, "__week_error": week_error})
         .withColumn("__error_value", error)
         .withColumns({"__wall": F.when(good, moment), "__error_class": kind, "__utc_offset": F.when(good, utc_offset)})
-        .drop("__date", "__offset"))
+        .drop("__date", "__offset", "__parts", "__week_error"))
 
 
 def _with_python(df: DataFrame, value: Column, fmt: str) -> DataFrame:
