@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 import re
 import zlib
 
@@ -331,25 +332,44 @@ def near_copies(chance):
     return [*texts, *texts[:5], "one two", "one two", "one two three", "", None, " ", words(chance, 3000), None]
 
 
+def plain_likeness(x, y):
+    """The sum, over common shingles i, of 1 / sum over all j of max(x_j / x_i, y_j / y_i)."""
+    keys = sorted(x.keys() | y.keys())
+    one, other = (np.array([side.get(key, 0.0) for key in keys]) for side in (x, y))
+    both = np.flatnonzero((one > 0) & (other > 0))
+    return sum(1 / np.maximum(one / one[i], other / other[i]).sum() for i in both)
+
+
+def plain_weights(text):
+    words_ = (text or "").lower().split()
+    size = min(neardup.WORDS, len(words_))
+    counts = Counter(tuple(words_[i:i + size]) for i in range(len(words_) - size + 1)) if words_ else {}
+    return {shingle: 1 + np.log2(n) / neardup.DAMPING for shingle, n in counts.items()}
+
+
+def links_by_brute_force(texts):
+    weights = [plain_weights(text) for text in texts]
+    return [(j, i) for i in range(len(texts)) for j in range(i)
+            if (texts[i] or "") == (texts[j] or "")
+            or len(weights[i].keys() & weights[j].keys()) > 0.6 * max(len(weights[i]), len(weights[j]))
+            and plain_likeness(weights[i], weights[j]) >= 0.8]
+
+
 def classes_by_brute_force(texts):
-    sets = [set(neardup.shingles(text)[0].tolist()) for text in texts]
     parent = list(range(len(texts)))
 
     def root(i):
         while parent[i] != i:
             i = parent[i]
         return i
-    for i in range(len(texts)):
-        for j in range(i):
-            common = len(sets[i] & sets[j])
-            if (texts[i] or "") == (texts[j] or "") or common and common >= 0.8 * (len(sets[i]) + len(sets[j]) - common):
-                parent[max(root(i), root(j))] = min(root(i), root(j))
+    for j, i in links_by_brute_force(texts):
+        parent[max(root(i), root(j))] = min(root(i), root(j))
     return [root(i) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("leaders", [4, 1])
-def test_near_duplicates_against_brute_force(spark, monkeypatch, leaders):
-    monkeypatch.setattr(neardup, "LEADERS", leaders)
+@pytest.mark.parametrize("small", [32, 4])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, small):
+    monkeypatch.setattr(neardup, "SMALL", small)
     texts = near_copies(random.Random(12))
     found = {row["doc_id"]: row for row in neardup.near_duplicates(docs_of(spark, texts)).collect()}
     expected = classes_by_brute_force(texts)
@@ -359,6 +379,41 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, leaders):
     assert sorted(row["doc_id"] for row in kept.collect()) == sorted(set(expected))
 
 
+def test_recall_in_a_large_group_of_texts_more_and_less_alike(spark):
+    chance = random.Random(31)
+    base, texts = words(chance, 90).split(), []
+    for _ in range(150):  # from nearly equal texts to some that resemble none or one of the others
+        own = list(base)
+        for _ in range(chance.choice([0, 1, 1, 2, 2, 3, 4, 5, 6, 8])):
+            own[chance.randrange(len(own))] = f"n{chance.randrange(10 ** 6)}"
+        texts.append(" ".join(own))
+    found = {row["doc_id"]: row["class_id"] for row in neardup.near_duplicates(docs_of(spark, texts)).collect()}
+    links = [(i, j) for i, j in links_by_brute_force(texts) if texts[i] != texts[j]]
+    assert len(links) > 200 and sum(found[i] == found[j] for i, j in links) >= 0.98 * len(links)
+    expected = classes_by_brute_force(texts)
+    assert all(expected[i] == expected[found[i]] for i in range(len(texts)))  # nothing else is linked
+
+
+def test_likeness_of_pairs_and_sketches():
+    chance = np.random.default_rng(17)
+    for _ in range(40):
+        elements = np.unique(chance.integers(0, 2 ** 63, 60, dtype=np.uint64))
+        a, b = (np.sort(chance.choice(elements, 40, replace=False)) for _ in range(2))
+        x, y = (neardup.weights_of(chance.choice([1, 1, 2, 9, 40], 40)) for _ in range(2))
+        expected = plain_likeness(dict(zip(a.tolist(), x)), dict(zip(b.tolist(), y)))
+        assert neardup.probability_jaccard(a, x, b, y) == pytest.approx(expected)
+    found = chance.integers(0, 2 ** 63, (2, neardup.REGISTERS), dtype=np.uint64)
+    found[1, :50] = found[0, :50]
+    one, other = neardup.sketches(found)
+    differ = sum(bin(int(v)).count("1") for v in ((x | x >> 1 | x >> 2 | x >> 3) & 0x1111111111111111 for x in map(int, one ^ other)))
+    assert 8 <= differ <= 14
+
+
+def test_sketches_are_compared_register_by_register(spark):
+    pairs = spark.createDataFrame([([0, 0, 0, 0], [0, 0, 0, 0]), ([-1, 0, 1, 0x80], [0, 0, 0, 0x10])], "a array<long>, b array<long>")
+    assert [row[0] for row in pairs.select(neardup.unlike(F.col("a"), F.col("b"))).collect()] == [0, 16 + 1 + 1]
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward, empty):
     found = neardup.near_duplicates(awkward).toPandas()
     assert len(found) == awkward.count() and found[found.doc_id == 1].class_id.eq(1).all()
