@@ -75,13 +75,13 @@ def test_gradient_equals_differences():
     rows = maxent.features(outcomes, starts)
     classes, members = np.divmod(outcomes, maxent.MEMBERS)
     assert (rows[0][starts] == 1 + maxent.START).all() and rows.max() < maxent.CLASS_ROWS
-    for first, rows, targets in ((np.zeros_like(classes), rows, classes),
+    for first, rows, targets in ((0, rows, classes),
                                  (maxent.CLASS_ROWS + classes, maxent.member_rows(rows, classes), members)):
         assert rows.max() < maxent.ROWS
         weights = model.weights.astype(np.float64)
         value = lambda: maxent._log_softmax_at(weights, first, rows, targets).sum()
         found, sums, tokens = maxent.gradient(weights, first, rows, targets)
-        assert tokens.sum() == rows.size + len(first) and len(set(found)) == len(found)
+        assert tokens.sum() == rows.size + len(targets) and len(set(found)) == len(found)
         for at in chance.integers(0, len(found), 15):
             column, start = chance.integers(maxent.CLASSES), value()
             weights[found[at], column] += 1e-5
@@ -90,11 +90,15 @@ def test_gradient_equals_differences():
 
 
 def test_tokens_of_a_block_come_back():
-    texts = [maxent.token_ids(text) for text in ("a b a", None, "x " * 70_000, " ".join(map(str, range(70_000))))]
-    _, _, lengths, vocabulary, learnt, packed = maxent._block([1, 2, 3, 4], [False, True, False, True], texts)
-    assert (vocabulary[maxent._unpacked(packed)] == np.concatenate(texts)).all()
-    assert lengths.tolist() == [4, 1, 70_001, 70_001]
-    assert dict(zip(vocabulary.tolist(), learnt.tolist()))[maxent.token_ids("x")[0]] == 70_000
+    texts = ["a b a", None, "x " * 70_000, " ".join(map(str, range(70_000)))]
+    block = maxent._Block()
+    for number, text in enumerate(texts):
+        block.add(number, number % 2 == 1, text)
+    ids, held, lengths, vocabulary, learnt, packed = block.columns()
+    expected = [maxent.word_id(word) for text in texts for word in maxent.tokens_of(text)]
+    assert vocabulary[maxent._unpacked(packed)].tolist() == expected and len(set(vocabulary)) == len(vocabulary)
+    assert lengths.tolist() == [4, 1, 70_001, 70_001] and held == [False, True, False, True] and ids == [0, 1, 2, 3]
+    assert dict(zip(vocabulary.tolist(), learnt.tolist()))[maxent.word_id(b"x")] == 70_000
     assert learnt.sum() == 4 + 70_001
 
 

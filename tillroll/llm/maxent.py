@@ -36,36 +36,35 @@ TRIGRAMS = 1 << 12          # rows that hashed trigrams share
 CLASS_ROWS = 1 + 3 * (OUTCOMES + 1) + TRIGRAMS
 MEMBER_ROWS = CLASSES + (1 << 14)  # a row per class, then hashed pairs of feature and class
 ROWS = CLASS_ROWS + MEMBER_ROWS
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 20
 ROUNDS = 3                  # shares of each block's texts, one after the other; the model is averaged after each
-STEP_TOKENS = 1 << 13
-RATE = 0.15
-SCALE = 1 << 20             # weights travel as whole numbers, whose sums do not depend on their order
-_CACHED_WORDS = 1 << 18
+STEP_TOKENS = 1 << 14
+RATE = 0.25
+SCALE = 1 << 16             # weights travel as whole numbers, whose sums do not depend on their order
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordIds(dict):
-    """64 bits for a word, whose lowest tell the outcome that it would share as a rare one."""
+class _Numbers(dict):
+    """Words by the order in which they first came."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        suffix = xxhash.xxh3_64_intdigest(word[-SUFFIX_BYTES:]) % SUFFIXES
-        value = xxhash.xxh3_64_intdigest(word) // SUFFIXES * SUFFIXES + suffix
-        found = self[word] = value - (1 << 64) if value >> 63 else value
-        return found
+        number = self[word] = len(self)
+        return number
 
 
-_ids = _WordIds()
+def word_id(word: bytes) -> int:
+    """64 bits for a word, whose lowest tell the outcome that it would share as a rare one."""
+    suffix = xxhash.xxh3_64_intdigest(word[-SUFFIX_BYTES:]) % SUFFIXES
+    value = xxhash.xxh3_64_intdigest(word) // SUFFIXES * SUFFIXES + suffix
+    return value - (1 << 64) if value >> 63 else value
 
 
-def token_ids(text: str | None) -> np.ndarray:
-    """The ids of a text's words in lower case (A to Z only), then that of the end."""
+def tokens_of(text: str | None) -> list[bytes]:
+    """A text's words in lower case (A to Z only), then the end."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     words.append(END)
-    return np.fromiter(map(_ids.__getitem__, words), np.int64, len(words))
+    return words
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -79,40 +78,53 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def _block(ids: list, held: list[bool], texts: list[np.ndarray]) -> tuple:
-    lengths = np.array([len(text) for text in texts], np.int32)
-    found, numbers, counts = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    numbers, vocabulary = rank[numbers], found[order]
-    learnt = numbers[np.repeat(~np.array(held, bool), lengths)]
-    return ids, held, lengths, vocabulary, np.bincount(learnt, minlength=len(vocabulary)), _packed(numbers)
+class _Block:
+    """Texts whose tokens are numbered within the block, by their frequency in the end."""
+
+    def __init__(self) -> None:
+        self.ids: list = []
+        self.held: list[bool] = []
+        self.texts: list[np.ndarray] = []
+        self.numbers = _Numbers()
+        self.tokens = 0
+
+    def add(self, doc_id, held: bool, text: str | None) -> None:
+        words = tokens_of(text)
+        self.ids.append(doc_id)
+        self.held.append(held)
+        self.texts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        self.tokens += len(words)
+
+    def columns(self) -> tuple:
+        """Ids, held out, lengths, vocabulary, tokens learnt from by word, tokens."""
+        lengths = np.array([len(text) for text in self.texts], np.int32)
+        numbers = np.concatenate(self.texts)
+        order = np.argsort(-np.bincount(numbers), kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        numbers = rank[numbers]
+        vocabulary = np.fromiter(map(word_id, self.numbers), np.int64, len(self.numbers))[order]
+        learnt = numbers[np.repeat(~np.array(self.held, bool), lengths)]
+        return self.ids, self.held, lengths, vocabulary, np.bincount(learnt, minlength=len(vocabulary)), _packed(numbers)
 
 
 def _blocks_of(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     part, number = TaskContext.get().partitionId() << 32, 0
-    ids: list = []
-    held: list[bool] = []
-    texts: list[np.ndarray] = []
-    tokens = 0
+    block = _Block()
 
     def taken() -> pa.RecordBatch:
-        nonlocal number, tokens, ids, held, texts
-        values = [part + number, *_block(ids, held, texts)]
-        number, tokens, ids, held, texts = number + 1, 0, [], [], []
+        nonlocal number, block
+        values = [part + number, *block.columns()]
+        number, block = number + 1, _Block()
         return pa.RecordBatch.from_arrays(
             [pa.array([value], field.type) for value, field in zip(values, schema, strict=True)], schema=schema)
 
     for batch in batches:
-        for doc_id, is_held, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            ids.append(doc_id)
-            held.append(is_held)
-            texts.append(token_ids(text))
-            tokens += len(texts[-1])
-            if tokens >= BLOCK_TOKENS:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            block.add(*row)
+            if block.tokens >= BLOCK_TOKENS:
                 yield taken()
-    if ids:
+    if block.ids:
         yield taken()
 
 
@@ -208,16 +220,17 @@ def _hashed(numbers: np.ndarray, rows: int) -> np.ndarray:
     return (numbers.astype(np.uint64) * _MIX >> np.uint64(65 - rows.bit_length())).astype(np.int64)
 
 
-def _exponents(weights: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def _exponents(weights: np.ndarray, first: np.ndarray | int, rows: np.ndarray) -> np.ndarray:
     """Sums of rows of weights, less the greatest of each."""
-    sums = weights[first] + weights[rows[0]]
+    sums = weights[rows[0]]
+    sums += weights[first]
     for column in rows[1:]:
         sums += weights[column]
     sums -= sums.max(1, keepdims=True)
     return sums
 
 
-def _log_softmax_at(weights: np.ndarray, first: np.ndarray, rows: np.ndarray, targets: np.ndarray) -> np.ndarray:
+def _log_softmax_at(weights: np.ndarray, first: np.ndarray | int, rows: np.ndarray, targets: np.ndarray) -> np.ndarray:
     sums = _exponents(weights, first, rows)
     chosen = sums[np.arange(len(targets)), targets]
     return chosen - np.log(np.exp(sums, out=sums).sum(1))
@@ -231,23 +244,27 @@ def log_probabilities(model: Model, outcomes: np.ndarray, starts: np.ndarray) ->
         part = slice(at, at + STEP_TOKENS)
         classes, members = np.divmod(outcomes[part], MEMBERS)
         found[part] = (
-            _log_softmax_at(model.weights, np.zeros_like(classes), rows[:, part], classes)
+            _log_softmax_at(model.weights, 0, rows[:, part], classes)
             + _log_softmax_at(model.weights, CLASS_ROWS + classes, member_rows(rows[:, part], classes), members))
     return found
 
 
 def gradient(
-    weights: np.ndarray, first: np.ndarray, rows: np.ndarray, targets: np.ndarray
+    weights: np.ndarray, first: np.ndarray | int, rows: np.ndarray, targets: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows, sums, tokens): of each row that occurs, the gradient of the targets' log probability, and its tokens.
 
-    ``first`` has few different rows, ``rows`` many.
+    ``first`` is one row for all, or the row of each one's class; ``rows`` may be many.
     """
     error = np.exp(_exponents(weights, first, rows))
     error /= -error.sum(1, keepdims=True)
     error[np.arange(len(targets)), targets] += 1
-    few, at = np.unique(first, return_inverse=True)
-    of_few = (np.arange(len(few))[:, None] == at).astype(np.float32)
+    if isinstance(first, int):
+        few, of_few = np.array([first]), np.ones((1, len(targets)), np.float32)
+    else:
+        tokens = np.bincount(first - CLASS_ROWS, minlength=CLASSES)
+        few = CLASS_ROWS + np.flatnonzero(tokens)
+        of_few = (few[:, None] == first).astype(np.float32)
     flat = rows.ravel().astype(np.uint16 if ROWS <= 1 << 16 else np.uint32)
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
@@ -270,10 +287,10 @@ class _Learner:
         for at in range(0, len(outcomes), STEP_TOKENS):
             part = slice(at, at + STEP_TOKENS)
             classes, members = np.divmod(outcomes[part], MEMBERS)
-            self._step(np.zeros_like(classes), rows[:, part], classes)
+            self._step(0, rows[:, part], classes)
             self._step(CLASS_ROWS + classes, member_rows(rows[:, part], classes), members)
 
-    def _step(self, first: np.ndarray, rows: np.ndarray, targets: np.ndarray) -> None:
+    def _step(self, first: np.ndarray | int, rows: np.ndarray, targets: np.ndarray) -> None:
         found, sums, tokens = gradient(self.weights, first, rows, targets)
         means = (sums / np.sqrt(tokens)[:, None]).astype(np.float32)
         squares = self.squares[found] + means * means
