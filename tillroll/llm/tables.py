@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.scratch import working_folder
 
+BATCH_BYTES = 4 << 20
+
 # What separates words in the contracts of the queries (a space, and \x09 to \x0D).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -39,7 +41,8 @@ def share_code(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Apply ``rows``, from columns as lists to columns as lists, to each Arrow batch of ``df``.
 
-    Spark limits a batch by rows and by bytes, so that long texts come in small batches.
+    Batches are cut to about ``BATCH_BYTES``, a row at least, so that what a task holds does not grow with the texts
+    that a batch of Spark's happens to have.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -48,10 +51,12 @@ def map_batches(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = rows({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
-            yield pa.RecordBatch.from_arrays(
-                [found[f.name] if isinstance(found[f.name], pa.Array) else pa.array(found[f.name], f.type)
-                 for f in target], schema=target)
+        for whole in batches:
+            step = max(1, whole.num_rows * BATCH_BYTES // max(whole.nbytes, 1))
+            for batch in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
+                found = rows({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
+                yield pa.RecordBatch.from_arrays(
+                    [found[f.name] if isinstance(found[f.name], pa.Array) else pa.array(found[f.name], f.type)
+                     for f in target], schema=target)
 
     return df.mapInArrow(mapped, schema)
