@@ -292,7 +292,8 @@ def test_base_spans_and_ownership(spark, awkward, empty):
     assert "prefixed" in found.spans[0] and "prefixed" in found.spans[31]
     assert found.n_examples[5] >= 1 and found.n_live[0] == 1
     clean = {row["doc_id"]: row for row in secrets.redact(docs).collect()}
-    assert own not in clean[0]["text"] and copied not in clean[3]["text"] and clean[0]["n_chars"] == len(clean[0]["text"])
+    assert own not in clean[0]["text"] and clean[0]["n_chars"] == len(clean[0]["text"])
+    assert copied in clean[3]["text"]  # seven owners have it: an example, which stays in the text and in ``spans``
     assert clean[32]["text"] is None and len(clean) == len(texts)
     assert secrets.redact(awkward).columns == awkward.columns and secrets.redact(awkward).count() == awkward.count()
     assert secrets.find_secrets(empty).count() == 0

@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,17 +27,22 @@ ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 
 # What the method looks at beyond them: (kind, pattern, group of the credential). Fixed values.
 WIDER = (
-    ("key", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{32,}"), 0),
+    ("key", re.compile(
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:\s*[A-Za-z-]++:[^\n]*\n)*+[A-Za-z0-9+/=\s]{32,}"
+        r"(?:-----END [A-Z ]*PRIVATE KEY-----)?"), 0),
     ("jwt", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0),
     ("prefixed", re.compile(r"\b(?:gh[pousr]_|xox[abpr]-|sk_live_|sk-|AIza)[A-Za-z0-9_-]{16,}"), 0),
     ("bearer", re.compile(r"\b[Bb]earer\x20+([A-Za-z0-9+/_.=-]{16,})"), 1),
-    ("url", re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:([^\s:/@]{8,128})@"), 1),
+    ("url", re.compile(r"://[^\s:/@]++:([^\s:/@]{8,}+)@"), 1),  # from "://", the scheme is looked for backwards
 )
 WIDER_SIGNS = (b"-----BEGIN", b"eyJ", b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_", b"xox", b"sk_live_", b"sk-", b"AIza",
                b"earer ", b"://")
 KINDS = [kind for kind, *_ in BASE] + [kind for kind, *_ in WIDER]
 
-MOST_OWNERS = 2      # a credential of more owners is a copied example
+SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
+
+MOST_OWNERS = 2      # a credential of more owners is a copied example,
+OWNER_SHARE = 0.9    # unless one of them has at least this share of the repositories that hold it
 LEAST_ENTROPY = 3.0  # bits per character of one that looks live
 
 CANDIDATE = "array<struct<kind: string, start: long, end: long, hash: string, lively: boolean>>"
@@ -46,9 +53,11 @@ def entropy(text: str) -> float:
 
 
 def candidates(text: str) -> tuple[list[tuple], list[tuple]]:
-    """(kind, start, end, hash, lively) of the base findings and of the wider ones that do not overlap these.
+    """(kind, start, end, hash, lively) of the base findings and of the wider ones.
 
-    Places are code points, ``end`` exclusive; the hash is of the credential itself.
+    A wider finding may overlap base ones, but one within a single base finding says nothing new and is left out, as is
+    one that overlaps a wider finding of a kind listed before. Places are code points, ``end`` exclusive; the hash is
+    of the credential itself. No finding has a greatest length.
     """
     data = text.encode("utf-8", "surrogatepass")
     base, wider = [], []
@@ -58,21 +67,41 @@ def candidates(text: str) -> tuple[list[tuple], list[tuple]]:
             continue
         for match in pattern.finditer(text):
             if len(match[group]) >= least:
-                base.append(_candidate(kind, match, group))
+                base.append(_candidate(kind, match.start(), match.end(), match[group]))
     if any(sign in data for sign in WIDER_SIGNS):
-        taken = [(start, end) for _, start, end, _, _ in base]
+        spans = sorted((start, end) for _, start, end, _, _ in base)
+        starts, furthest = [start for start, _ in spans], list(accumulate((end for _, end in spans), max))
+        taken: list[tuple[int, int]] = []
         for kind, pattern, group in WIDER:
+            own = []
             for match in pattern.finditer(text):
-                if all(match.end() <= start or end <= match.start() for start, end in taken):
-                    wider.append(_candidate(kind, match, group))
-                    taken.append(match.span())
+                start = match.start() if kind != "url" else scheme_start(text, match.start())
+                if start is None:
+                    continue
+                before = bisect_right(starts, start)
+                if before and furthest[before - 1] >= match.end():
+                    continue
+                at = bisect_right(taken, (start, len(text)))
+                if (not at or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= match.end()):
+                    own.append((start, match.end()))
+                    wider.append(_candidate(kind, start, match.end(), match[group]))
+            taken = sorted(taken + own)
     return base, wider
 
 
-def _candidate(kind: str, match: re.Match, group: int) -> tuple:
-    value = match[group]
+def scheme_start(text: str, at: int) -> int | None:
+    """Where the scheme that ends at ``at`` starts: a letter and one more character at least, else None."""
+    start = at
+    while start and text[start - 1] in SCHEME:
+        start -= 1
+    while start < at and not "a" <= text[start] <= "z":
+        start += 1
+    return start if at - start >= 2 else None
+
+
+def _candidate(kind: str, start: int, end: int, value: str) -> tuple:
     digest = hashlib.md5(value.encode("utf-8", "surrogatepass"), usedforsecurity=False).hexdigest()
-    return kind, match.start(), match.end(), digest, entropy(value) >= LEAST_ENTROPY
+    return kind, start, end, digest, entropy(value) >= LEAST_ENTROPY
 
 
 def spans_text(spans: Column) -> Column:
@@ -98,44 +127,54 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, owners) over ``found`` (owner, base, wider), a row per credential.
+    """(hash, owners, repositories, most) over ``found`` (owner, repository, base, wider), a row per credential.
 
-    Pairs are made distinct before they are counted, so no task gathers the copies of a common credential.
+    ``repositories`` counts the different texts of each owner that hold it, so exact copies count once; ``most`` is the
+    greatest such number of one owner. Rows are made distinct before they are counted, and counted by owner first,
+    so no task gathers the copies of a common credential.
     """
-    every = found.select("owner", F.explode(F.concat("base", "wider")).alias("c")).select(
-        F.col("c.hash").alias("hash"), F.struct("owner").alias("owner"))
-    return every.distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
+    every = found.select("owner", "repository", F.explode(F.concat("base", "wider")).alias("c")).select(
+        F.col("c.hash").alias("hash"), F.struct("owner").alias("owner"), "repository")
+    by_owner = every.distinct().groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
+    return by_owner.groupBy("hash").agg(
+        F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"), F.max("n").alias("most"))
+
+
+def owner_specific() -> Column:
+    """Whether a credential belongs to its owners instead of being copied widely, by the columns of ``ownership``."""
+    return (F.col("owners") <= MOST_OWNERS) | (F.col("most") >= OWNER_SHARE * F.col("repositories"))
 
 
 def find_secrets(docs: DataFrame, owner: str = "source") -> DataFrame:
     """Secrets in each row of ``docs`` (doc_id, text, and the column that names the owner).
 
-    Gives doc_id, row_key, n_assign, n_access, n_hex, base_sha256, n_live, n_examples, spans (text) and places (array).
-    ``spans`` holds all base findings, and of the wider ones those whose credential looks live: enough entropy,
-    and in the whole corpus at most ``MOST_OWNERS`` owners. How many documents of these hold it does not count: an
-    owner's secret stays one, however often it is copied. A null owner counts as one. Equal rows get equal results.
-    No rows: no rows.
+    Gives doc_id, row_key, n_assign, n_access, n_hex, base_sha256, n_live, n_examples, spans (text) and live (array).
+    ``spans`` holds all base findings, and of the wider ones those whose credential looks live; ``live`` the places of all
+    that look live, base or wider: enough entropy, and owner-specific in the whole corpus. A repository is a different text
+    of an owner. A credential of at most ``MOST_OWNERS`` owners is theirs, in however many repositories they repeat it; one
+    of more is a copied example, unless a single owner has ``OWNER_SHARE`` of the repositories and the others are strays.
+    A null owner counts as one. Null and empty texts have no secrets. Equal rows get equal results. No rows: no rows.
     """
     prepared = docs.select(
-        "doc_id", F.col(owner).alias("owner"), row_key().alias("row_key"), "text")
+        "doc_id", F.col(owner).alias("owner"), F.xxhash64("text").alias("repository"), row_key().alias("row_key"), "text")
     found = materialise(scan(prepared).withColumn("row", F.monotonically_increasing_id()))
-    verdicts = materialise(ownership(found))
+    verdicts = materialise(ownership(found).select("hash", owner_specific().alias("own")))
     each = found.filter(F.size("base") + F.size("wider") > 0).select(
         "row", F.posexplode(F.concat("base", "wider")).alias("position", "c"), F.size("base").alias("bases"))
-    live = (F.col("owners") <= MOST_OWNERS) & F.col("c.lively")
     judged = each.withColumn("hash", F.col("c.hash")).join(verdicts.hint("merge"), "hash").select(
-        "row", live.alias("live"), (F.col("position") < F.col("bases")).alias("is_base"), "c")
+        "row", (F.col("own") & F.col("c.lively")).alias("live"), (F.col("position") < F.col("bases")).alias("is_base"), "c")
     by_row = judged.groupBy("row").agg(
         F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_examples"),
+        F.collect_list(F.when(F.col("live"), F.struct(F.col("c.start").alias("start"), F.col("c.end").alias("end")))).alias("live"),
         F.collect_list(F.when(F.col("live") & ~F.col("is_base"), F.col("c"))).alias("added"))
     joined = found.join(by_row, "row", "left")
     base = lambda kind: F.size(F.filter("base", lambda c: c["kind"] == kind)).cast("long")
-    places = F.concat("base", F.coalesce("added", F.array().cast(CANDIDATE)))
+    reported = F.concat("base", F.coalesce("added", F.array().cast(CANDIDATE)))
     return joined.select(
         "doc_id", "row_key", base("assign").alias("n_assign"), base("access").alias("n_access"), base("hex").alias("n_hex"),
-        F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(places).alias("spans"),
+        F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(reported).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_examples", F.lit(0)).alias("n_examples"),
-        F.transform(places, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))).alias("places"))
+        F.coalesce("live", F.array().cast("array<struct<start: long, end: long>>")).alias("live"))
 
 
 def row_key() -> Column:
@@ -144,12 +183,12 @@ def row_key() -> Column:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source") -> DataFrame:
-    """``docs`` with every span of ``find_secrets`` replaced by ``mark`` and ``n_chars`` to match.
+    """``docs`` with every finding of ``find_secrets`` that looks live replaced by ``mark`` and ``n_chars`` to match.
 
-    All rows stay. Overlapping spans are replaced as one.
+    Copied examples and dull texts such as a repeated letter stay. All rows stay. Overlapping findings are replaced as one.
     """
-    places = find_secrets(docs, owner).filter(F.size("places") > 0).select(
-        F.col("row_key").alias("__row"), F.col("places").alias("__places")).dropDuplicates(["__row"])
+    places = find_secrets(docs, owner).filter(F.size("live") > 0).select(
+        F.col("row_key").alias("__row"), F.col("live").alias("__places")).dropDuplicates(["__row", "__places"])
     joined = docs.withColumn("__row", row_key()).join(materialise(places).hint("merge"), "__row", "left")
     hit = F.col("__places").isNotNull()
 
@@ -177,4 +216,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source") -> Da
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_secrets(table(spark, sf_dir, "documents")).drop("row_key", "places")
+    return find_secrets(table(spark, sf_dir, "documents")).drop("row_key", "live")
