@@ -13,7 +13,7 @@ from tillroll.llm.tables import map_batches, table
 
 SAMPLE_ROWS = 4_000          # labelled texts of each kind for the dictionaries, at most
 CALIBRATION_ROWS = 8_000     # other labelled texts for the thresholds, at most
-SAMPLE_CHARS = 200_000       # longer texts have no part in training
+SAMPLE_CHARS = 8_000         # characters of a text that the dictionaries learn from, at a place that its hash chooses
 DICTIONARY_BYTES = (16_384, 8_192)  # first round, second round
 CLEAR = 3                    # bytes that mark a window as one kind's in the second round
 THRESHOLDS = (1, 2, 3, 4, 5)
@@ -33,7 +33,10 @@ class ToxicityModel:
 
 
 def windows(text: str | None) -> list[bytes]:
-    """The windows of a whole text: its lower-case words, parted by ASCII white space."""
+    """The windows of a whole text: its lower-case words, parted by ASCII white space.
+
+    Windows of several words were measured and find fewer of the toxic texts, as README says.
+    """
     return (text or "").lower().encode("utf-8", "surrogatepass").split()
 
 
@@ -86,27 +89,35 @@ def _trained(texts: list[list[bytes]], size: int) -> bytes:
         if chunk:
             samples.append(b" " + b" ".join(chunk) + b" ")
     try:
-        return zstandard.train_dictionary(size, samples, k=16, d=6).as_bytes()
+        return _content(zstandard.train_dictionary(size, samples, k=16, d=6).as_bytes())
     except zstandard.ZstdError:  # too few samples to choose from: they are the dictionary
         return b"".join(samples)[:size] or b" "
 
 
-def train(toxic: list[str], ordinary: list[str], calibration: list[tuple[str, int]]) -> ToxicityModel:
-    """Two dictionaries and calibrated weights.
+def _content(dictionary: bytes) -> bytes:
+    """What a trained dictionary holds of the samples: all behind its tables, which end in the three first offsets."""
+    offsets = b"".join(offset.to_bytes(4, "little") for offset in (1, 4, 8))
+    return dictionary[dictionary.index(offsets) + len(offsets):]
+
+
+def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+    """A dictionary of toxic and one of ordinary texts.
 
-    The first dictionaries learn from all windows. The second ones learn only from windows that the first take
+    The first ones learn from all windows. The second ones learn only from windows that the first take
     for toxic, in toxic texts and in ordinary ones, so that chance findings are in both and cancel out.
     """
     kinds = [[[word for word in dict.fromkeys(windows(text)) if len(word) >= 3] for text in texts]
              for texts in (toxic, ordinary)]
     first = Distance(*[_trained(kind, DICTIONARY_BYTES[0]) for kind in kinds])
     hard = [[[word for word in words if first[word] >= CLEAR] for words in kind] for kind in kinds]
-    dictionaries = [_trained(kind, DICTIONARY_BYTES[1]) for kind in hard]
-    distance = Distance(*dictionaries)
-    x = np.array([features(distance, text) for text, _ in calibration] or [[0.0] * FEATURES])
-    y = np.array([label for _, label in calibration] or [0], float)
+    own, other = (_trained(kind, DICTIONARY_BYTES[1]) for kind in hard)
+    return own, other
+
+
+def calibrate(toxic: bytes, ordinary: bytes, x: np.ndarray, y: np.ndarray) -> ToxicityModel:
+    """The model of two dictionaries, with weights by a regression of the labels ``y`` on the features ``x``."""
     mean, scale = x.mean(0), x.std(0) + 1e-9
-    return ToxicityModel(*dictionaries, mean, scale, _logistic((x - mean) / scale, y))
+    return ToxicityModel(toxic, ordinary, mean, scale, _logistic((x - mean) / scale, y))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 40) -> np.ndarray:
@@ -124,31 +135,45 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 4
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learn from the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) marks.
 
-    Labelled rows are halved by a hash of the id: one half trains the dictionaries, the other the thresholds.
-    Of rows with equal doc_id one text is learnt from, so the driver gets at most
-    ``2 * SAMPLE_ROWS + CALIBRATION_ROWS`` texts of at most ``SAMPLE_CHARS`` characters.
+    Labelled rows are halved by a hash of the id: one half trains the dictionaries, the other the weights.
+    Of rows with equal doc_id one text is learnt from. The driver gets at most ``2 * SAMPLE_ROWS`` parts of texts of
+    ``SAMPLE_CHARS`` characters and the features of ``CALIBRATION_ROWS`` whole texts, which tasks work out. Null texts are
+    empty ones. Without labelled rows all scores are alike.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ranked = marked.withColumn("order", F.xxhash64("doc_id")).withColumn("half", F.pmod("order", F.lit(2)))
     part = lambda keep, rows: ranked.filter(keep).orderBy("order", "doc_id").limit(rows)
-    chosen = part("half = 0 and toxic = 1", SAMPLE_ROWS).unionByName(
-        part("half = 0 and toxic = 0", SAMPLE_ROWS)).unionByName(part("half = 1", CALIBRATION_ROWS))
-    sample = docs.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS).join(
-        F.broadcast(chosen), "doc_id").groupBy("order", "doc_id", "half", "toxic").agg(
-        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")).select(
-        "order", "doc_id", "half", "toxic", "first.text").toPandas()
-    sample = sample.sort_values(["order", "doc_id", "text"])
-    pick = lambda half, toxic: sample[(sample.half == half) & (sample.toxic == toxic)].text.tolist()
-    later = sample[sample.half == 1]
-    return train(pick(0, 1), pick(0, 0), list(zip(later.text, later.toxic.astype(int), strict=True)))
+
+    def one_text(chosen: DataFrame, text: Column) -> DataFrame:
+        rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+        return rows.groupBy("order", "doc_id", "toxic").agg(
+            F.min(F.struct(F.xxhash64("text").alias("hash"), text.alias("text"))).alias("first")).select(
+            "order", "doc_id", "toxic", "first.text")
+
+    spare = F.greatest(F.length("text") - F.lit(SAMPLE_CHARS - 1), F.lit(1))
+    span = F.substring(F.col("text"), F.pmod(F.xxhash64("text"), spare).cast("int") + 1, F.lit(SAMPLE_CHARS))
+    sample = one_text(part("half = 0 and toxic = 1", SAMPLE_ROWS).unionByName(
+        part("half = 0 and toxic = 0", SAMPLE_ROWS)), span).toPandas().sort_values(["order", "doc_id", "text"])
+    own, other = dictionaries(*[sample[sample.toxic == kind].text.tolist() for kind in (1, 0)])
+
+    def measured(batch: dict[str, list]) -> dict[str, list]:
+        distance = _distance(own, other)
+        return {"order": batch["order"], "y": batch["y"], "x": [features(distance, text) for text in batch["text"]]}
+
+    found = map_batches(
+        one_text(part("half = 1", CALIBRATION_ROWS), F.col("text")).select("order", F.col("toxic").cast("double").alias("y"), "text"),
+        measured, "order long, y double, x array<double>").toPandas().sort_values("order", kind="stable")
+    if not len(found):
+        return calibrate(own, other, np.zeros((1, FEATURES)), np.zeros(1))
+    return calibrate(own, other, np.array(found.x.tolist()), found.y.to_numpy())
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` without its text, plus ``score`` (0 to 1) and ``predicted``; whole texts, no shuffle.
 
-    A null text scores as an empty one. Equal texts score alike.
+    A null text scores as an empty one. Equal texts score alike. Columns called like the two results are replaced. No rows: no rows.
     """
-    kept = [field for field in docs.schema.fields if field.name != "text"]
+    kept = [field for field in docs.schema.fields if field.name not in ("text", "score", "predicted")]
 
     def scored(batch: dict[str, list]) -> dict[str, list]:
         distance = _distance(model.toxic, model.ordinary)
