@@ -1,0 +1,55 @@
+"""What of an article its names and its repeats may take."""
+
+import pytest
+
+from tillroll.llm import html
+
+
+def article(page):
+    return [text for zone, text in html.blocks(f"<body><article>{page}</article></body>") if zone == html.ARTICLE]
+
+
+@pytest.mark.parametrize("name", ["social science", "related-work", "search-results", "share-prices", "notice-period", "footer"])
+def test_a_section_keeps_its_text_whatever_its_name(name):
+    assert article(f'<p>a</p><section class="{name}"><h2>T</h2><p>text <a href="x">link</a> of it</p></section><p>b</p>') == [
+        "a", "T", "text link of it", "b"]
+    # A list of links of that name is chrome, and so are articles in it and parts within parts.
+    links = "".join(f'<li><a href="{i}">more about number {i}</a></li>' for i in range(4))
+    assert article(f'<p>a</p><div class="{name}"><h3>See</h3><ul>{links}</ul></div><p>b</p>') == ["a", "b"]
+    assert article(f'<div class="{name}"><article class="card related"><a href="x">one more story</a></article>,</div><p>b') == ["b"]
+
+
+def test_telling_names_go_even_without_links():
+    page = '<p>a<div class="ad">buy</div><div class="newsletter related">sign up</div><div class="cookie-notice">ok</div><p>b'
+    assert article(page) == ["a", "b"]
+    assert article('<div class="related"></div><p>b') == ["b"]
+    # Outside articles nothing changes.
+    assert [zone for zone, _ in html.blocks('<div class="related">x</div>')] == [html.CHROME]
+
+
+def test_two_doubtful_parts_are_settled_one_by_one():
+    page = ('<div class="related">plain words here</div><div class="social"><a href="x">share this</a></div>'
+            '<div class="search">found <div class="ad">buy</div> words</div>')
+    assert article(page) == ["plain words here", "found", "words"]
+
+
+def test_frames_of_articles():
+    long, body = "one two three four five six seven eight", "b" * 200
+    assert html.frame_of(["Ingredients", body, "References"], [0, 2]) == set()
+    assert html.frame_of(["Share", long, body, "Note", body, "References"], [0, 1, 3, 5]) == {0, 1, 5}
+    assert html.frame_of([body, "Note", long, body, "More", long], [1, 2, 4, 5]) == {2, 4, 5}
+    assert html.frame_of([long, "x"], [0]) == set() and html.frame_of([body], None) == set()
+
+
+def test_headings_that_pages_of_a_host_share_stay(spark):
+    story = lambda i: " ".join(f"word{i * 31 + n}" for n in range(40))
+    rows = [(i, f"http://cook.example/{i}", f"<article><h2>Ingredients</h2><p>{story(i)}</p><h2>References</h2></article>") for i in range(7)]
+    strip = "please follow us on all the usual channels and tell your friends"
+    rows += [(10 + i, f"http://news.example/{i}", f"<article><p>{strip}</p><h2>Hot</h2><p>{story(50 + i)}</p></article>") for i in range(7)]
+    rows += [(30, None, None), (31, "", ""), (32, "http://cook.example/1", rows[1][2]), (33, "x", "<article>" + "<p>long text</p>" * 50_000)]
+    found = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).toPandas().set_index("page_id")
+    for i in range(7):
+        assert found.text[i] == f"Ingredients\n\n{story(i)}\n\nReferences"
+        assert found.text[10 + i] == story(50 + i)
+    assert found.text[30] == found.text[31] == "" and found.text[32] == found.text[1]
+    assert found.n_chars[33] == 50_000 * 11 - 2

@@ -22,6 +22,9 @@ FRAME_SHARE = 0.5   # share of a host's different articles beyond which a whole
 
 # An article lifts what is around it, but not out of what is sunk, such as a comment or a sidebar.
 ARTICLE, OPEN, CHROME, SUNK = 2, 1, 0, -1
+# Zones from here on are parts of articles whose name alone does not tell: they are chrome if they are mostly links.
+DOUBTFUL = 3
+LINKED = 0.5  # share of a doubtful part's characters within links beyond which it is chrome
 
 # HTML's elements and the names that web authors give to what is not main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +44,10 @@ CHROME_NAMES = frozenset(
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription "
     "signup sidebar menu submenu nav navbar navigation breadcrumb breadcrumbs pagination pager masthead topbar header "
     "footer share sharing social related recommended widget toolbar login search skip".split())
+# Names that sections of an article have too.
+DOUBTFUL_NAMES = frozenset(
+    "header footer menu navigation notice notices notification overlay pager recommended related search share sharing skip "
+    "social subscription widget".split())
 COMMENT_NAMES = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 
@@ -55,7 +62,7 @@ _RAW_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 
 
 def _zone(tag: str, attributes: str, outer: int) -> int:
-    """The zone of an element within one of zone ``outer``."""
+    """The zone of an element within one of zone ``outer``; ``DOUBTFUL`` for a new part that its links decide."""
     if outer == SUNK:
         return SUNK
     found = {}
@@ -70,12 +77,13 @@ def _zone(tag: str, attributes: str, outer: int) -> int:
     if names & COMMENT_NAMES and tag != "main":
         return SUNK
     if tag in ("article", "main") or role in ("main", "article") or found.get("itemprop") == "articlebody":
-        return ARTICLE
-    if tag in CHROME_TAGS or role in CHROME_ROLES or tag == "header" and outer != ARTICLE:
+        return max(outer, ARTICLE)
+    if tag in CHROME_TAGS or role in CHROME_ROLES or tag == "header" and outer < ARTICLE:
         return CHROME
-    if names & CHROME_NAMES and not (outer == ARTICLE and names & CHROME_NAMES == {"header"}):
-        return CHROME
-    return outer
+    telling = names & CHROME_NAMES
+    if telling and outer >= ARTICLE and telling <= DOUBTFUL_NAMES:
+        return max(outer, DOUBTFUL)
+    return CHROME if telling else outer
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
@@ -84,8 +92,12 @@ def blocks(page: str) -> list[tuple[int, str]]:
     Markup may be broken or cut off. Character references are decoded, white space within a block becomes one
     space, and empty blocks are left out. A cell of a table and a line break part words, not blocks. Embedded elements
     are left out without parting blocks; without an end tag they reach to that of an element around them.
+
+    Within an article a name such as ``related`` or ``social`` makes a part chrome only if more than ``LINKED`` of its
+    characters are in links; a section about related work stays.
     """
     found: list[tuple[int, str]] = []
+    parts: list[list[int]] = []  # characters, and those in links, of each doubtful part
     stack: list[tuple[str, int]] = []
     zone, at, buffer = OPEN, 0, []
     embedded = None  # place in the stack of the embedded element that all is in
@@ -100,6 +112,10 @@ def blocks(page: str) -> list[tuple[int, str]]:
         match = _TAG.search(page, at)
         if embedded is None:
             buffer.append(page[at:match.start() if match else len(page)])
+            if zone >= DOUBTFUL:
+                size = len(_SPACE.sub("", buffer[-1]))
+                parts[zone - DOUBTFUL][0] += size
+                parts[zone - DOUBTFUL][1] += size * any(tag == "a" for tag, _ in stack)
         if match is None:
             break
         at = match.end()
@@ -151,12 +167,16 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 if stack[i][0] in BLOCKS:
                     break
         inner = _zone(tag, match[3] or match[6], zone)
+        if inner == DOUBTFUL and zone < DOUBTFUL:
+            inner = DOUBTFUL + len(parts)
+            parts.append([0, 0])
         if inner != zone:
             flush()
         stack.append((tag, zone))  # what holds again after it
         zone = inner
     flush()
-    return found
+    settled = [CHROME if linked > LINKED * size else ARTICLE for size, linked in parts]
+    return [(settled[zone - DOUBTFUL] if zone >= DOUBTFUL else zone, text) for zone, text in found]
 
 
 def _is_empty(match: re.Match) -> bool:
@@ -204,14 +224,16 @@ def _block_hash(text: str) -> int:
 def frame_of(texts: list[str], repeats: list[int] | None) -> set[int]:
     """Which blocks of an article are its frame, of those at the places ``repeats``, which its host repeats.
 
-    Between blocks that stay, one of fewer than ``RUN`` tokens stays too, as it may be a heading. Where repeats hold
-    half of the text or more, the page is a variant of others instead of framed, and all stays.
+    A block of fewer than ``RUN`` tokens may be a heading. It stays between blocks that stay, and at an edge too unless the
+    article has longer repeats, which show that it is framed. Where repeats hold half of the text or more, the page is a variant of others
+    instead of framed, and all stays.
     """
     places = set(repeats or ())
     if not places or 2 * sum(len(texts[i]) for i in places) >= sum(map(len, texts)):
         return set()
     own = [i for i in range(len(texts)) if i not in places]
-    return {i for i in places if not own[0] < i < own[-1] or len(texts[i].split(" ")) >= RUN}
+    long = {i for i in places if len(texts[i].split(" ")) >= RUN}
+    return long | {i for i in places if long and not own[0] < i < own[-1]}
 
 
 def _unframed(batch: dict[str, list]) -> dict[str, list]:
