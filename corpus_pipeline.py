@@ -28,7 +28,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: secrets are replaced by a mark; all documents stay."""
+    """Operator 9: secrets that look live are replaced by a mark, copied examples are not; all documents stay."""
     return redact(docs)
 
 
