@@ -89,16 +89,42 @@ def test_gradient_equals_differences():
             weights[found[at], column] -= 1e-5
 
 
+def test_sums_by_row_equal_one_by_one():
+    chance = np.random.default_rng(3)
+    for size, numbers in ((1, 1), (5, 2), (700, 1), (700, 3), (700, 500), (3_000, 40)):
+        rows, values = chance.integers(0, numbers, (4, size)), chance.normal(size=(size, maxent.CLASSES))
+        found, sums, times = maxent._summed(rows, values)
+        expected = np.zeros((numbers, maxent.CLASSES))
+        np.add.at(expected, rows.ravel(), np.tile(values, (4, 1)))
+        assert sorted(found) == np.unique(rows).tolist() and (times == np.bincount(rows.ravel())[found]).all()
+        assert np.allclose(sums, expected[found])
+
+
+def test_steps_have_the_features_of_whole_texts():
+    outcomes = np.random.default_rng(4).integers(0, maxent.OUTCOMES, 3 * maxent.STEP_TOKENS + 5)
+    for starts in ([0], [0, 1, 2, maxent.STEP_TOKENS - 2, maxent.STEP_TOKENS + 1, 2 * maxent.STEP_TOKENS, len(outcomes) - 1]):
+        steps = list(maxent._steps(outcomes, np.array(starts)))
+        assert (np.concatenate([rows for _, rows in steps], 1) == maxent.features(outcomes, np.array(starts))).all()
+        assert len(steps) == 4 and all(rows.shape[1] == len(outcomes[part]) for part, rows in steps)
+
+
+def test_great_weights_stay_finite():
+    model, _, _ = random_model()
+    model.weights *= 1_000
+    found = maxent.log_probabilities(model, np.arange(maxent.OUTCOMES), np.array([0]))
+    assert np.isfinite(found).all() and (found <= 1e-4).all()
+
+
 def test_tokens_of_a_block_come_back():
     texts = ["a b a", None, "x " * 70_000, " ".join(map(str, range(70_000)))]
     block = maxent._Block()
     for number, text in enumerate(texts):
         block.add(number, number % 2 == 1, text)
     ids, held, lengths, vocabulary, learnt, packed = block.columns()
-    expected = [maxent.word_id(word) for text in texts for word in maxent.tokens_of(text)]
+    expected = maxent.word_ids([word for text in texts for word in maxent.tokens_of(text)]).tolist()
     assert vocabulary[maxent._unpacked(packed)].tolist() == expected and len(set(vocabulary)) == len(vocabulary)
     assert lengths.tolist() == [4, 1, 70_001, 70_001] and held == [False, True, False, True] and ids == [0, 1, 2, 3]
-    assert dict(zip(vocabulary.tolist(), learnt.tolist()))[maxent.word_id(b"x")] == 70_000
+    assert dict(zip(vocabulary.tolist(), learnt.tolist()))[maxent.word_ids([b"x"])[0]] == 70_000
     assert learnt.sum() == 4 + 70_001
 
 

@@ -39,6 +39,9 @@ ROWS = CLASS_ROWS + MEMBER_ROWS
 BLOCK_TOKENS = 1 << 20
 ROUNDS = 3                  # shares of each block's texts, one after the other; the model is averaged after each
 STEP_TOKENS = 1 << 14
+CACHED_TOKENS = 1 << 11     # tokens whose sums stay near the processor
+GREATEST_SUM = 80.0         # sums of weights are held within plus and minus this, whose exponentials float32 can add
+SELDOM = 64                 # rows with no more tokens in a step are summed side by side
 RATE = 0.25
 SCALE = 1 << 16             # weights travel as whole numbers, whose sums do not depend on their order
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -53,11 +56,12 @@ class _Numbers(dict):
         return number
 
 
-def word_id(word: bytes) -> int:
-    """64 bits for a word, whose lowest tell the outcome that it would share as a rare one."""
-    suffix = xxhash.xxh3_64_intdigest(word[-SUFFIX_BYTES:]) % SUFFIXES
-    value = xxhash.xxh3_64_intdigest(word) // SUFFIXES * SUFFIXES + suffix
-    return value - (1 << 64) if value >> 63 else value
+def word_ids(words: list[bytes]) -> np.ndarray:
+    """64 bits for each word, whose lowest tell the outcome that it would share as a rare one."""
+    whole = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    suffix = np.fromiter((xxhash.xxh3_64_intdigest(word[-SUFFIX_BYTES:]) for word in words), np.uint64, len(words))
+    few = np.uint64(SUFFIXES)
+    return (whole // few * few + suffix % few).view(np.int64)
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -103,7 +107,7 @@ class _Block:
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         numbers = rank[numbers]
-        vocabulary = np.fromiter(map(word_id, self.numbers), np.int64, len(self.numbers))[order]
+        vocabulary = word_ids(list(self.numbers))[order]
         learnt = numbers[np.repeat(~np.array(self.held, bool), lengths)]
         return self.ids, self.held, lengths, vocabulary, np.bincount(learnt, minlength=len(vocabulary)), _packed(numbers)
 
@@ -210,6 +214,14 @@ def features(outcomes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.stack([1 + one, 1 + step + two, 1 + 2 * step + three, 1 + 3 * step + trigram])
 
 
+def _steps(outcomes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """``STEP_TOKENS`` tokens at a time: where they are, and their features, which depend on the three before them."""
+    for at in range(0, len(outcomes), STEP_TOKENS):
+        part, begin = slice(at, at + STEP_TOKENS), max(at - 3, 0)
+        inside = starts[np.searchsorted(starts, begin):np.searchsorted(starts, at + STEP_TOKENS)]
+        yield part, features(outcomes[begin:part.stop], inside - begin)[:, at - begin:]
+
+
 def member_rows(rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """The rows of the second layer, beside that of the class: hashed pairs of the last two words and the class."""
     return CLASS_ROWS + CLASSES + _hashed(rows[:2] * CLASSES + classes, MEMBER_ROWS - CLASSES)
@@ -220,32 +232,33 @@ def _hashed(numbers: np.ndarray, rows: int) -> np.ndarray:
     return (numbers.astype(np.uint64) * _MIX >> np.uint64(65 - rows.bit_length())).astype(np.int64)
 
 
-def _exponents(weights: np.ndarray, first: np.ndarray | int, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows of weights, less the greatest of each."""
-    sums = weights[rows[0]]
-    sums += weights[first]
-    for column in rows[1:]:
-        sums += weights[column]
-    sums -= sums.max(1, keepdims=True)
-    return sums
+def _exponentials(weights: np.ndarray, first: np.ndarray | int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The softmax's numerators, a row for each token, and what to multiply each row by."""
+    found = np.empty((rows.shape[1], CLASSES), weights.dtype)
+    for at in range(0, len(found), CACHED_TOKENS):
+        sums, part = found[at:at + CACHED_TOKENS], slice(at, at + CACHED_TOKENS)
+        np.take(weights, rows[0, part], axis=0, out=sums, mode="clip")
+        sums += weights[first] if isinstance(first, int) else np.take(weights, first[part], axis=0, mode="clip")
+        for column in rows[1:, part]:
+            sums += np.take(weights, column, axis=0, mode="clip")
+        np.clip(sums, -GREATEST_SUM, GREATEST_SUM, out=sums)
+        np.exp(sums, out=sums)
+    return found, 1 / (found @ np.ones(CLASSES, weights.dtype))
 
 
 def _log_softmax_at(weights: np.ndarray, first: np.ndarray | int, rows: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    sums = _exponents(weights, first, rows)
-    chosen = sums[np.arange(len(targets)), targets]
-    return chosen - np.log(np.exp(sums, out=sums).sum(1))
+    found, scale = _exponentials(weights, first, rows)
+    return np.log(found[np.arange(len(targets)), targets]) + np.log(scale)
 
 
 def log_probabilities(model: Model, outcomes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The natural logarithm of each outcome's probability after the ones before, some at a time."""
     found = np.empty(len(outcomes))
-    rows = features(outcomes, starts)
-    for at in range(0, len(outcomes), STEP_TOKENS):
-        part = slice(at, at + STEP_TOKENS)
+    for part, rows in _steps(outcomes, starts):
         classes, members = np.divmod(outcomes[part], MEMBERS)
         found[part] = (
-            _log_softmax_at(model.weights, 0, rows[:, part], classes)
-            + _log_softmax_at(model.weights, CLASS_ROWS + classes, member_rows(rows[:, part], classes), members))
+            _log_softmax_at(model.weights, 0, rows, classes)
+            + _log_softmax_at(model.weights, CLASS_ROWS + classes, member_rows(rows, classes), members))
     return found
 
 
@@ -256,22 +269,41 @@ def gradient(
 
     ``first`` is one row for all, or the row of each one's class; ``rows`` may be many.
     """
-    error = np.exp(_exponents(weights, first, rows))
-    error /= -error.sum(1, keepdims=True)
+    error, scale = _exponentials(weights, first, rows)
+    error *= -scale[:, None]
     error[np.arange(len(targets)), targets] += 1
+    found, sums, times = _summed(rows, error)
     if isinstance(first, int):
-        few, of_few = np.array([first]), np.ones((1, len(targets)), np.float32)
+        few, of_few, tokens = np.array([first]), np.ones(len(targets), error.dtype)[None] @ error, np.array([len(targets)])
     else:
         tokens = np.bincount(first - CLASS_ROWS, minlength=CLASSES)
-        few = CLASS_ROWS + np.flatnonzero(tokens)
-        of_few = (few[:, None] == first).astype(np.float32)
+        few = np.flatnonzero(tokens)
+        of_few = (np.eye(CLASSES, dtype=error.dtype)[first - CLASS_ROWS].T @ error)[few]
+        few, tokens = few + CLASS_ROWS, tokens[few]
+    return np.concatenate([few, found]), np.concatenate([of_few, sums]), np.concatenate([tokens, times])
+
+
+def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct numbers of ``rows``, the sums of the ``values`` of each one's tokens, and how often it occurs.
+
+    Numbers that occur seldom, by far the most, are summed side by side: first, second, third ... occurrences.
+    """
     flat = rows.ravel().astype(np.uint16 if ROWS <= 1 << 16 else np.uint32)
     order = np.argsort(flat, kind="stable")
-    flat = flat[order]
-    ends = np.concatenate([[0], np.flatnonzero(flat[1:] != flat[:-1]) + 1, [len(flat)]])
-    sums = np.add.reduceat(np.take(error, order % len(targets), axis=0), ends[:-1], axis=0)
-    return (np.concatenate([few, flat[ends[:-1]].astype(np.int64)]), np.concatenate([of_few @ error, sums]),
-            np.concatenate([of_few.sum(1).astype(np.int64), np.diff(ends)]))
+    flat, token = flat[order], order % len(values)
+    begins = np.concatenate([[0], np.flatnonzero(flat[1:] != flat[:-1]) + 1])
+    times = np.diff(begins, append=len(flat))
+    often = np.flatnonzero(times > SELDOM)
+    by_times = np.argsort(SELDOM + 1 - np.minimum(times, SELDOM + 1).astype(np.uint8), kind="stable")
+    sums = np.take(values, token[begins[by_times]], axis=0)
+    at = begins[by_times[len(often):]]
+    for time in range(1, SELDOM):
+        at = at[:np.count_nonzero(times > time) - len(often)] + 1
+        sums[len(often):len(often) + len(at)] += np.take(values, token[at], axis=0)
+    ones = np.ones(times.max(), values.dtype)
+    for place, (begin, time) in enumerate(zip(begins[often].tolist(), times[often].tolist(), strict=True)):
+        np.dot(ones[:time], np.take(values, token[begin:begin + time], axis=0), out=sums[place])
+    return flat[begins[by_times]].astype(np.int64), sums, times[by_times]
 
 
 class _Learner:
@@ -283,19 +315,22 @@ class _Learner:
         self.tokens = np.zeros(len(weights), np.int64)
 
     def learn(self, outcomes: np.ndarray, starts: np.ndarray) -> None:
-        rows = features(outcomes, starts)
-        for at in range(0, len(outcomes), STEP_TOKENS):
-            part = slice(at, at + STEP_TOKENS)
+        for part, rows in _steps(outcomes, starts):
             classes, members = np.divmod(outcomes[part], MEMBERS)
-            self._step(0, rows[:, part], classes)
-            self._step(CLASS_ROWS + classes, member_rows(rows[:, part], classes), members)
+            self._step(0, rows, classes)
+            self._step(CLASS_ROWS + classes, member_rows(rows, classes), members)
 
     def _step(self, first: np.ndarray | int, rows: np.ndarray, targets: np.ndarray) -> None:
         found, sums, tokens = gradient(self.weights, first, rows, targets)
-        means = (sums / np.sqrt(tokens)[:, None]).astype(np.float32)
-        squares = self.squares[found] + means * means
+        sums *= (1 / np.sqrt(tokens)).astype(np.float32)[:, None]
+        squares = np.take(self.squares, found, axis=0, mode="clip")
+        squares += sums * sums
         self.squares[found] = squares
-        self.weights[found] += np.float32(RATE) * means / np.sqrt(squares)
+        np.sqrt(squares, out=squares)
+        sums *= np.float32(RATE)
+        sums /= squares
+        sums += np.take(self.weights, found, axis=0, mode="clip")
+        self.weights[found] = sums
         self.tokens[found] += tokens
 
 
