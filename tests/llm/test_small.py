@@ -116,6 +116,21 @@ def test_cached_token_ids_equal_the_tokenizers(text):
     assert encoder.of(text) == encoder.of(text) == encoder._encode(text)
 
 
+def test_token_ids_of_whole_texts_equal_the_tokenizers():
+    import random
+
+    import public_tokenizers
+    encoder = packing.token_ids(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    chance = random.Random(5)
+    common = [chr(i) for i in (10, 32, *range(33, 127), *range(0xA1, 0x530))]
+    tricky = ["\n", " ", " ", "a", "b", "1", "'s", "'ll", "!", "é", "Ж", "\u0308", "²", "½", "\u00ad", "ǅ", "\u0378", "\u2019", "\xa0", "\x1c", "<|"]
+    for number in range(4_000):
+        text = "".join(chance.choices(tricky if number % 2 else common, k=chance.randrange(40)))
+        assert encoder.of(text) == encoder._encode(text)
+    for text in ("w" * 100_000, "ab1 " * 50_000, "\n \n" * 20, "\n \n" * 30_000, "!?" * 50_000, "a <|endoftext|> b"):
+        assert encoder.of(text) == encoder._encode(text)
+
+
 def test_packing_awkward_rows(spark, awkward, empty):
     rows = packing.pack_documents(awkward).toPandas()
     assert rows.groupby("sequence_id").length.sum().max() <= 2048

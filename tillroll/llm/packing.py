@@ -25,16 +25,20 @@ CACHED_PIECES = 1 << 17  # of each of two generations
 
 # A space is no safe place to cut where it stands in a run of white space that goes on after it.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)|^ (?:\s|\Z)")
+# What the two libraries may see differently, or the faster one may refuse: other scripts, other control characters and
+# white space, runs of white space, and names of special tokens.
+_UNCOMMON = re.compile("[^\n !-~\u00a1-\u052f]")
+_LONG_RUN = re.compile("[\n ]{64}")
 _tokenizers: dict[tuple[str, str], TokenIds] = {}
 
 
 class TokenIds(dict):
     """The ids of texts as little-endian unsigned 32-bit numbers.
 
-    The tokenizer's pattern starts a new piece at each single space, and pieces are encoded one by one. So a text
-    is cut there, and the ids of what lies between are kept for the next time. ``ranks`` is the same vocabulary in
-    the form of a faster library, which encodes single words of Latin, Greek and Cyrillic letters, where the two
-    cannot differ.
+    ``ranks`` is the same vocabulary in the form of a faster library, which encodes texts of Latin, Greek and Cyrillic
+    letters as a whole, and such words of other texts, where the two cannot differ. In those others, the tokenizer's
+    pattern starts a new piece at each single space, and pieces are encoded one by one. So a text is cut there, and the
+    ids of what lies between are kept for the next time.
     """
 
     def __init__(self, path: str, ranks: str):
@@ -66,6 +70,8 @@ class TokenIds(dict):
         return ids
 
     def of(self, text: str) -> bytes:
+        if not (_UNCOMMON.search(text) or _LONG_RUN.search(text) or "<|" in text):
+            return array("I", self._fast(text)).tobytes()
         if _UNSAFE.search(text) or "<|" in text:
             return self._encode(text)
         first, *others = text.split(" ")
