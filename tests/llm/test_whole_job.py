@@ -126,7 +126,9 @@ def test_frames_within_articles_go(spark):
 def test_the_driver_gets_one_text_per_labelled_id(spark, monkeypatch):
     rows = [(1, f"word {i} of the hot one", "en", "s") for i in range(300)] + [(i, f"word {i}", "en", "s") for i in range(2, 30)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, toxic int")
-    sizes = []
-    monkeypatch.setattr(toxicity, "train", lambda *parts: sizes.append(sum(map(len, parts))))
+    texts, measured = [], []
+    dictionaries, calibrate = toxicity.dictionaries, toxicity.calibrate
+    monkeypatch.setattr(toxicity, "dictionaries", lambda *kinds: texts.append(sum(map(len, kinds))) or dictionaries(*kinds))
+    monkeypatch.setattr(toxicity, "calibrate", lambda own, other, x, y: measured.append(len(x)) or calibrate(own, other, x, y))
     toxicity.fit(spark.createDataFrame(rows, SCHEMA), labels)
-    assert sizes == [29]
+    assert len(texts) == len(measured) == 1 and 0 < texts[0] < 29 and texts[0] + measured[0] == 29
