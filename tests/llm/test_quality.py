@@ -67,3 +67,20 @@ def test_verdicts_against_a_plain_model(spark, docs, limits):
             chunks = [data[start:end] for start, end in zip([0, *ends], ends, strict=False)]
             kept = good(data) and (len(chunks) == 1 or sum(not good(c) for c in chunks) <= 0.3 * len(chunks))
         assert found[i]["kept"] == kept, (i, len(data))
+
+
+def test_every_good_document_has_a_part_in_the_limits(spark):
+    chance = random.Random(55)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    # As many of one length as it takes to learn its limits, among more others than a sample of 20,000 has.
+    rare = ["".join(chance.choices(letters, k=9000)) for _ in range(quality.LEAST_SAMPLE)]
+    docs = spark.createDataFrame(list(enumerate(["same words again " * 20] * 24_000 + rare)), "doc_id long, text string")
+    assert quality.fit_limits(docs, docs.select("doc_id"))[quality.length_band(9000)][0] > 0.6
+
+
+def test_chains_take_in_every_text_whole(spark):
+    chance = random.Random(56)
+    docs = spark.createDataFrame([(i, prose(chance, 6000)) for i in range(40)], "doc_id long, text string")
+    longest = max(quality.chain_ratios(docs, docs.select("doc_id"), 1))
+    size = docs.selectExpr("sum(length(text)) + 200").first()[0]
+    assert longest >= quality.length_band(size) - 1 > quality.length_band(40 * quality.PART) + 1

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.tables import map_batches, table
@@ -22,11 +23,10 @@ LEVEL = 3
 CHUNK = 4096  # bytes of a chunk; a last one of less than half belongs to the one before
 BAD_CHUNKS = 0.3  # share of chunks beyond their limits that rejects a text
 
-SAMPLE_ROWS = 20_000  # labelled good documents that the limits are taken from, at most
-LEAST_SAMPLE = 30     # fewer of a length borrow from longer texts, cut to it, or from shorter ones
+LEAST_SAMPLE = 30     # fewer good documents of a length borrow from longer texts, cut to it, or from shorter ones
 TAIL, MARGIN = 0.001, 0.01
-CHAINS, PART, LINKED = 16, 8192, 1 << 20  # long texts are stood for by this many chains of so many characters of good texts each, to this size
-DEFAULT_LIMITS = (0.12, 1.10)  # of lengths below SHORTEST, which have too few words, and without a sample
+CHAINS, PART, LINKED = 16, 8192, 1 << 20  # long texts are stood for by chains of all good ones, this many at least, of about so many bytes; the parts that alternate there
+DEFAULT_LIMITS = (0.12, 1.10)  # of lengths below SHORTEST, which have too few words, and without good documents
 SHORTEST, LONGEST = 12, 62     # half octaves that get limits: from 64 bytes to more than a text can hold
 
 Limits = dict[int, tuple[float, float]]  # half octave of the length in bytes -> least and greatest ratio
@@ -36,45 +36,31 @@ def length_band(size: int) -> int:
     return int(2 * math.log2(max(size, 1)))
 
 
-def fit_limits(docs: DataFrame, good: DataFrame, rows: int = SAMPLE_ROWS) -> Limits:
-    """Limits for each length from up to ``rows`` documents of ``docs`` that ``good`` (doc_id) lists.
+def fit_limits(docs: DataFrame, good: DataFrame) -> Limits:
+    """Limits for each length from all documents of ``docs`` that ``good`` (doc_id) lists.
 
-    They leave out ``TAIL`` of these documents at either end, less ``MARGIN``. The sample goes by a hash of the
-    id; beyond it, no document has a part in the limits. A length of fewer than ``LEAST_SAMPLE`` documents takes in
-    the beginnings of longer ones, cut to the least and the greatest size of that length. If these are too few as
-    well, the text is longer than nearly all good ones: the greatest ratio is then that of the next shorter length
-    that has one, as ratios fall with the length, and so is the least one, less as much as ratios fall from that length to
-    this one in good texts put end to end (``CHAINS`` of them; beyond ``LINKED`` bytes, or the longest chain, ratios
-    are taken to stay). Only a sample of fewer than ``LEAST_SAMPLE`` documents gives no limits.
-    """
-    chosen = good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    They leave out ``TAIL`` of these documents at either end, less ``MARGIN``. A length of fewer than ``LEAST_SAMPLE``
+    documents takes in the beginnings of all longer ones, cut to the least and the greatest size of that length. If these
+    are too few as well, the text is longer than nearly all good ones: the greatest ratio is then that of the next shorter
+    length that has one, as ratios fall with the length, and so is the least one, less as much as ratios fall from that
+    length to this one in good texts put end to end (beyond the longest chain of them ratios are taken to stay). Only fewer
+    than ``LEAST_SAMPLE`` good documents give no limits.
 
-    def measured(batch: dict[str, list]) -> dict[str, list]:
-        compressor = zstandard.ZstdCompressor(level=LEVEL)
-        rows = []
-        for text in batch["text"]:
-            data = (text or "").encode("utf-8", "surrogatepass")
-            own = length_band(len(data))
-            if data:
-                rows.append((own, True, *[ratio(compressor, data)] * 2))
-            for band in range(SHORTEST, own):
-                cut = [ratio(compressor, data[:size]) for size in band_sizes(band)]
-                rows.append((band, False, min(cut), max(cut)))
-        return dict(zip(("band", "whole", "low", "high"), map(list, zip(*rows, strict=True)), strict=True)) if rows else {
-            name: [] for name in ("band", "whole", "low", "high")}
-
-    ends = lambda keep: F.array(*[
-        F.percentile(F.when(keep, F.col(name)), end) for name, end in (("low", TAIL), ("high", 1 - TAIL))])
-    bands = map_batches(sample, measured, "band int, whole boolean, low double, high double").groupBy("band").agg(
-        F.count_if("whole").alias("n"), F.count(F.lit(1)).alias("n_cut"),
-        ends(F.col("whole")).alias("ends"), ends(F.lit(True)).alias("ends_cut"))
-    fall = chain_ratios(sample)
-    limits = {}
-    for row in bands.collect():
-        least, most = row["ends"] if row["n"] >= LEAST_SAMPLE else row["ends_cut"]
-        if row["n_cut"] >= LEAST_SAMPLE:
-            limits[row["band"]] = (least - MARGIN, most + MARGIN)
+    Ratios are measured where the texts are, and joined with ``good`` without them. A task holds the different ratios
+    of a length.
+    """
+    kind = docs.schema["doc_id"].dataType
+    wanted = good.select(F.col("doc_id").cast(kind).alias("doc_id")).filter("doc_id is not null").distinct()
+    sizes = ratio_ends(docs, wanted)
+    limits, total = {}, sum(row["size"] for row in sizes)
+    longest = max((row["band"] for row in sizes), default=0)
+    found = {row["band"]: row for row in sizes if row["n"] >= LEAST_SAMPLE}
+    few = [band for band in range(SHORTEST, longest) if band not in found]
+    if few:
+        found |= {row["band"]: row for row in ratio_ends(docs, wanted, few) if row["n"] >= LEAST_SAMPLE}
+    for band, row in found.items():
+        limits[band] = (row["least"] - MARGIN, row["most"] + MARGIN)
+    fall = chain_ratios(docs, wanted, max(CHAINS, total // LINKED)) if limits else {}
     for band in range(SHORTEST, LONGEST):
         if band not in limits and band - 1 in limits:
             before, after = fall.get(band - 1), fall.get(band)
@@ -83,15 +69,47 @@ def fit_limits(docs: DataFrame, good: DataFrame, rows: int = SAMPLE_ROWS) -> Lim
     return limits
 
 
-def chain_ratios(sample: DataFrame) -> dict[int, float]:
-    """The mean ratio of good texts (doc_id, text) put end to end, cut to the least size of each length.
+def ratio_ends(docs: DataFrame, wanted: DataFrame, cut_to: Sequence[int] = ()) -> list[Row]:
+    """``n`` texts, their bytes ``size`` and the ``least`` and ``most`` ratio but for ``TAIL`` for each length of the
+    documents that ``wanted`` (doc_id) lists; with ``cut_to`` for these lengths, longer texts cut to them among theirs."""
+    names = ("doc_id", "band", "size", "low", "high")
+
+    def measured(batch: dict[str, list]) -> dict[str, list]:
+        compressor = zstandard.ZstdCompressor(level=LEVEL)
+        rows = []
+        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            data = (text or "").encode("utf-8", "surrogatepass")
+            own = length_band(len(data))
+            if data and (not cut_to or own in cut_to):
+                rows.append((doc_id, own, len(data), *[ratio(compressor, data)] * 2))
+            for band in cut_to:
+                if band < own:
+                    cut = [ratio(compressor, data[:size]) for size in band_sizes(band)]
+                    rows.append((doc_id, band, len(data), min(cut), max(cut)))
+        return dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)) if rows else {name: [] for name in names}
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ratios = map_batches(docs.select("doc_id", "text"), measured, f"doc_id {kind}, band int, size long, low double, high double")
+    counted = ratios.join(wanted.hint("merge"), "doc_id", "left_semi").groupBy("band", "low", "high").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    return counted.groupBy("band").agg(
+        F.sum("n").alias("n"), F.sum("size").alias("size"), F.percentile("low", TAIL, F.col("n")).alias("least"),
+        F.percentile("high", 1 - TAIL, F.col("n")).alias("most")).collect()
+
+
+def chain_ratios(docs: DataFrame, wanted: DataFrame, chains: int) -> dict[int, float]:
+    """The mean ratio of the texts that ``wanted`` (doc_id) lists, put end to end, cut to the least size of each length.
 
-    Texts go to one of ``CHAINS`` chains by a hash of the id, ``PART`` characters of each, in the order of that hash, so
-    chains do not depend on how rows are partitioned, and a task holds ``LINKED`` bytes of ``SAMPLE_ROWS / CHAINS`` such parts.
+    Every text goes whole to one of ``chains`` chains by a hash of the id. A chain has the first ``PART`` characters of each
+    of its texts in the order of that hash, then the next ones and so on, so chains do not depend on how rows are
+    partitioned. A task holds the texts of a chain, of which there are as many as the texts need.
     """
-    def linked(rows: pd.DataFrame) -> pd.DataFrame:
+    def linked(rows: pd.DataFrame, listed: pd.DataFrame) -> pd.DataFrame:
         compressor = zstandard.ZstdCompressor(level=LEVEL)
-        data = " ".join(rows.sort_values(["order", "part"]).part).encode("utf-8", "surrogatepass")[:LINKED]
+        rows = rows[rows.doc_id.isin(listed.doc_id)]
+        parts = sorted((at, order, text[at:at + PART]) for order, text in zip(rows.order, rows.text, strict=True)
+                       for at in range(0, len(text), PART))
+        data = " ".join(part for _, _, part in parts).encode("utf-8", "surrogatepass")
         found = []
         for band in range(SHORTEST, length_band(len(data)) + 1):
             size = band_sizes(band)[0]
@@ -99,10 +117,11 @@ def chain_ratios(sample: DataFrame) -> dict[int, float]:
                 found.append((band, ratio(compressor, data[:size])))
         return pd.DataFrame(found, columns=["band", "ratio"])
 
-    parts = sample.select(F.xxhash64("doc_id").alias("order"), F.substring("text", 1, PART).alias("part")).filter("part <> ''")
-    chains = parts.groupBy(F.pmod("order", F.lit(CHAINS)).alias("chain")).applyInPandas(linked, "band int, ratio double")
-    return {row["band"]: row["mean"] for row in chains.groupBy("band").agg(
-        F.avg("ratio").alias("mean")).collect()}
+    order = F.xxhash64("doc_id")
+    texts = docs.select("doc_id", "text", order.alias("order")).filter("doc_id is not null and text <> ''")
+    one, other = (side.withColumn("chain", F.pmod(order, F.lit(chains))).groupBy("chain") for side in (texts, wanted))
+    means = one.cogroup(other).applyInPandas(linked, "band int, ratio double").groupBy("band").agg(F.avg("ratio").alias("mean"))
+    return {row["band"]: row["mean"] for row in means.collect()}
 
 
 def band_sizes(band: int) -> tuple[int, int]:
