@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+import pytest
 
-from tillroll.llm import neardup
+from tillroll.llm import components, neardup
+from tillroll.operators import lookup
 
 SCHEMA = "doc_id long, text string"
 
@@ -62,3 +64,37 @@ def test_one_large_class_and_a_few_others_in_a_bucket(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
     found = {row["doc_id"]: row["class_id"] for row in neardup.near_duplicates(docs).collect()}
     assert links > 60 and [found[i] for i in range(len(texts))] == classes
+
+
+def as_large(monkeypatch):
+    """All tables count as too large to be broadcast."""
+    for module in (lookup, components, neardup):
+        monkeypatch.setattr(module, "measured_bytes", lambda df: 1 << 40)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_buckets_with_few_open_pairs_are_not_parted(spark, monkeypatch, large):
+    parted = []
+    monkeypatch.setattr(neardup, "_parted", lambda rows, old=neardup._parted: parted.append(1) or old(rows))
+    if large:
+        as_large(monkeypatch)
+    texts = alike(random.Random(71), kinds=150, copies=1, others=60)
+    classes, links = expected_classes(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    found = {row["doc_id"]: row["class_id"] for row in neardup.near_duplicates(docs).collect()}
+    assert links >= 140 and not parted
+    assert [found[i] for i in range(len(texts))] == classes
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_components_write_few_tables(spark, monkeypatch, large):
+    written = []
+    monkeypatch.setattr(components, "materialise", lambda df, old=components.materialise: written.append(1) or old(df))
+    if large:
+        as_large(monkeypatch)
+    stars = spark.createDataFrame([(i, i % 3) for i in range(3, 30)], "a long, b long")
+    found = {row["node"]: row["root"] for row in components.components(stars).collect()}
+    assert found == {i: i % 3 for i in range(30)} and len(written) == 1
+    chains = spark.createDataFrame([(i, i + 1) for i in range(39) if i != 19] + [(7, 7), (5, 4), (5, 4)], "a long, b long")
+    found = {row["node"]: row["root"] for row in components.components(chains).collect()}
+    assert found == {i: i // 20 * 20 for i in range(40)}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.components import components
 from tillroll.llm.fingerprints import mixed
 from tillroll.llm.tables import map_batches, share_code, table
-from tillroll.operators.lookup import join_lookup
+from tillroll.operators.lookup import ROUND_BYTES, join_lookup, join_written, measured_bytes
 from tillroll.scratch import job_folder, materialise, working_folder
 
 WORDS = 5           # words of a shingle
@@ -173,8 +173,8 @@ def unlike(one: Column, other: Column) -> Column:
 
 
 def similar_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(texts, classes)`` of ``docs`` (doc_id, text), written tables: the node of each text (text_id, node), and the
-    ``root`` of each node that resembles another.
+    """``(texts, classes)`` of ``docs`` (doc_id, text), written tables: the node of each text, its least doc_id and its
+    rows (text_id, node, doc_id, n), and the ``root`` of each node that resembles another.
 
     A node stands for all texts of the same shingles as often as they are there. Nodes of a probability Jaccard
     similarity of ``SIMILARITY`` or more are linked, and a class is what links connect. Candidates share a band
@@ -185,66 +185,77 @@ def similar_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     class, those of up to ``SMALL`` nodes have their open pairs compared, and larger ones are parted by each of
     ``SPLITS`` further bands, where there is a leader each again; so for ``LEVELS`` bands. These rounds only
     bring nodes together: in the last one all pairs of the larger buckets that are still in different classes are
-    compared, however many, so that no candidate is passed over.
+    compared, however many, so that no candidate is passed over. Where these are ``BLOCK`` a row at most to begin with, no
+    bucket is parted.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     prepared = docs.select(text_id().alias("text_id"), "doc_id", "text")
     signed = materialise(map_batches(
         prepared, _signed, f"text_id binary, doc_id {kind}, node binary, bands array<long>, sketch array<long>"))
-    texts = materialise(signed.select("text_id", "node").distinct())
+    texts = materialise(signed.groupBy("text_id").agg(
+        F.any_value("node").alias("node"), F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")))
     nodes = materialise(signed.filter("bands is not null").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_id")).alias("first"), F.any_value("bands").alias("bands"),
         F.any_value("sketch").alias("sketch")))
 
     members = nodes.select("node", F.posexplode("bands").alias("at", "bucket"))
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = materialise(members.join(materialise(sizes).hint("merge"), "bucket"))
+    shared = materialise(join_written(members, materialise(sizes), "bucket"))
     scores = shared.groupBy("node").agg(F.sum("size").alias("score"))
     signs = materialise(scores.join(nodes, "node").select("node", "score", "bands", "sketch", "first"))
     level = materialise(shared.select("node", "at", "bucket").join(signs.drop("first").hint("merge"), "node"))
 
-    sets = None
-    classes, seen, large = None, None, None
-    for number in range(LEVELS + 1):
-        pairs = []
-        if number == 0:
-            pairs.append(_with_leaders(level.withColumn("root", F.col("node"))))
-        else:
-            placed = _placed(level, classes)
-            parts = placed.groupBy("bucket").agg(
-                F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-            left = materialise(parts.filter("low <> high").select("bucket", "n"))
-            still = materialise(placed.join(left.hint("merge"), "bucket"))
-            if still.isEmpty():
-                break
-            if large is None:
-                large = materialise(still.filter(F.col("n") > SMALL).select("node", "bucket", "at", "bands"))
-            pairs.append(_open_pairs(still.filter(F.col("n") <= SMALL)))
-            if number < LEVELS:
-                level = materialise(_parted(still.filter(F.col("n") > SMALL).drop("n")))
-                pairs.append(_with_leaders(level))
-                level = level.drop("root")
-            else:
-                level = level.limit(0)
-        found = _unseen(pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1]), seen)
-        if sets is None:
-            sets = materialise(_sets(prepared, signs))
-        classes = _merged(classes, materialise(_verified(found, sets)))
-        seen = found if seen is None else materialise(seen.unionByName(found))
-    if large is not None and not large.isEmpty():
-        classes = _merged(classes, materialise(_all_links(_placed(large, classes), sets)))
+    found = _unseen(_with_leaders(level.withColumn("root", F.col("node"))), None)
+    sets = materialise(_sets(prepared, signs))
+    classes, seen, large = _merged(None, materialise(_verified(found, sets))), found, None
+    for number in range(1, LEVELS + 1):
+        placed = _placed(level, classes)
+        parts = materialise(_open_buckets(placed))
+        others = F.when(F.col("n") > SMALL, F.col("n") - F.col("main_n"))
+        left = parts.agg(F.count(F.lit(1)).alias("buckets"), F.sum(others * F.col("n")).alias("pairs"),
+                         F.sum(F.when(F.col("n") > SMALL, F.col("n"))).alias("rows")).first()
+        if not left["buckets"]:
+            break
+        still = materialise(join_written(placed, parts, "bucket"))
+        larger = still.filter(F.col("n") > SMALL)
+        if large is None:
+            large = larger.drop("score", "sketch")
+            if (left["pairs"] or 0) <= BLOCK * (left["rows"] or 0):
+                links = _verified(_unseen(_open_pairs(still.filter(F.col("n") <= SMALL)), seen), sets)
+                if left["rows"]:
+                    links = links.unionByName(_all_links(large, sets))
+                return texts, _merged(classes, materialise(links))
+        pairs = _open_pairs(still.filter(F.col("n") <= SMALL))
+        if number < LEVELS:
+            level = materialise(_parted(larger.drop("n", "main", "main_n")))
+            pairs = pairs.unionByName(_with_leaders(level))
+            level = level.drop("root")
+        found = _unseen(pairs, seen)
+        classes, seen = _merged(classes, materialise(_verified(found, sets))), seen.unionByName(found)
+    if large is not None:
+        placed = materialise(_placed(large.drop("root", "n", "main", "main_n"), classes))
+        classes = _merged(classes, materialise(_all_links(
+            join_written(placed, materialise(_open_buckets(placed)), "bucket"), sets)))
     return texts, classes
 
 
+def _open_buckets(rows: DataFrame) -> DataFrame:
+    """The buckets of ``rows`` (bucket, root) whose nodes are not in one class: their nodes ``n``, and the ``main`` class with
+    most of them, ``main_n``."""
+    counts = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most")).filter(
+        "n > most.n").select("bucket", "n", F.col("most.root").alias("main"), F.col("most.n").alias("main_n"))
+
+
 def _unseen(pairs: DataFrame, seen: DataFrame | None) -> DataFrame:
     """The different ``pairs`` that no earlier round has verified, a written table."""
     pairs = pairs.distinct()
-    return materialise(pairs if seen is None else pairs.join(seen.hint("merge"), ["a", "b"], "left_anti"))
+    return materialise(pairs if seen is None else join_written(pairs, seen, ["a", "b"], "left_anti"))
 
 
 def _placed(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """``rows`` with the ``root`` of their node so far."""
-    return rows.join(classes.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return join_written(rows, classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _with_leaders(rows: DataFrame) -> DataFrame:
@@ -252,7 +263,7 @@ def _with_leaders(rows: DataFrame) -> DataFrame:
     leaders = materialise(rows.groupBy("bucket").agg(
         F.max(F.struct("score", "node", "root", "sketch")).alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     near = (F.col("root") != F.col("leader.root")) & (unlike(F.col("sketch"), F.col("leader.sketch")) <= UNLIKE)
-    return _ordered(rows.join(leaders.hint("merge"), "bucket").filter(near), F.col("node"), F.col("leader.node"))
+    return _ordered(join_written(rows, leaders, "bucket").filter(near), F.col("node"), F.col("leader.node"))
 
 
 def _open_pairs(rows: DataFrame) -> DataFrame:
@@ -267,20 +278,15 @@ def _open_pairs(rows: DataFrame) -> DataFrame:
 
 def _all_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of a similarity of ``SIMILARITY`` or more among all pairs of ``rows`` of a bucket of any size
-    (node, bucket, at, bands, root) that are in different classes; no sketch passes over one.
+    (node, bucket, at, bands, root, and what ``_open_buckets`` has) that are in different classes; no sketch passes over one.
 
     The nodes of a bucket are dealt into blocks of about ``BLOCK``, those of its largest class apart from the others, and
     every block of others meets each block up to its own; so pairs within the largest class are never formed, and no
     task has to compare a bucket. Shingles travel with the blocks, not with the pairs.
     """
-    rows = materialise(rows)
-    counts = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main")).filter("n > main.n")
-    parts = sizes.select(
-        "bucket", F.col("main.root").alias("main"), F.ceil(F.col("main.n") / BLOCK).alias("mains"),
-        F.ceil((F.col("n") - F.col("main.n")) / BLOCK).alias("others"))
     inside, dealt = F.col("root") == F.col("main"), F.xxhash64("node")
-    own = rows.join(materialise(parts).hint("merge"), "bucket").withColumn(
+    mains, others = F.ceil(F.col("main_n") / BLOCK), F.ceil((F.col("n") - F.col("main_n")) / BLOCK)
+    own = rows.withColumns({"mains": mains, "others": others}).withColumn(
         "block", F.when(inside, F.pmod(dealt, "mains")).otherwise(F.col("mains") + F.pmod(dealt, "others")))
     own = materialise(own.join(sets.hint("merge"), "node"))
     kept = ["bucket", "node", "root", "at", "bands", "shingles", "counts"]
@@ -359,6 +365,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of a similarity of ``SIMILARITY`` or more."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set"), F.col("counts").alias("a_counts"))
     other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("b_set"), F.col("counts").alias("b_counts"))
+    if measured_bytes(pairs) <= ROUND_BYTES:  # then shingles that no pair needs stay where they are
+        one, other = (side.join(F.broadcast(pairs.select(end)), end, "left_semi") for side, end in ((one, "a"), (other, "b")))
     share_code(pairs.sparkSession)
     # A leader's side may be hot; the pairs are then as many rows, and adaptive execution splits them.
     return pairs.join(other.hint("merge"), "b").join(one.hint("merge"), "a").mapInArrow(_similar, "a binary, b binary")
@@ -381,14 +389,16 @@ def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
         return materialise(components(links))
     if links.isEmpty():
         return classes
-    root_of = classes.select(F.col("node").alias("__node"), F.col("root").alias("__root")).hint("merge")
+    size = measured_bytes(classes)
+    root_of = classes.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
     for end in ("a", "b"):
-        links = links.join(root_of, F.col(end) == F.col("__node"), "left").withColumn(end, F.coalesce("__root", end)).drop("__node", "__root")
-    joined = materialise(components(materialise(links.filter("a <> b").distinct())))
+        links = join_written(links, root_of, F.col(end) == F.col("__node"), "left", size=size).withColumn(
+            end, F.coalesce("__root", end)).drop("__node", "__root")
+    joined = materialise(components(links))
     moved = joined.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
-    old = classes.join(moved.hint("merge"), F.col("root") == F.col("__node"), "left").select(
+    old = join_written(classes, moved, F.col("root") == F.col("__node"), "left").select(
         "node", F.coalesce("__root", "root").alias("root"))
-    new = joined.join(classes.select("node").hint("merge"), "node", "left_anti")
+    new = join_written(joined, classes.select("node"), "node", "left_anti", size=size)
     return materialise(old.unionByName(new))
 
 
@@ -415,11 +425,8 @@ def text_classes(docs: DataFrame) -> DataFrame:
 
 
 def _text_classes(docs: DataFrame) -> DataFrame:
-    nodes, found = similar_texts(docs)
-    texts = docs.select("doc_id", text_id().alias("text_id")).groupBy("text_id").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
-    of_node = texts.join(nodes.hint("merge"), "text_id").join(found.hint("merge"), "node", "left")
-    rooted = materialise(of_node.withColumn("root", F.coalesce("root", "node")).drop("node"))
+    texts, found = similar_texts(docs)
+    rooted = materialise(_placed(texts, found).drop("node"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id"))
     classes = materialise(rooted.groupBy("root").agg(first.alias("keeper"), F.sum("n").alias("class_size")))
     return (rooted.select("text_id", "root").join(classes.hint("merge"), "root").select(
